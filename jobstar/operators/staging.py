@@ -33,15 +33,21 @@ def dedup_latest(raw: DataFrame, key: str = "job_id", order: tuple[str, ...] = P
     return raw.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def search_context(raw: DataFrame) -> DataFrame:
-    """Per job the sorted distinct search terms (JSON text), their count, first/last fetch."""
-    return (raw.groupBy("job_id")
-            .agg(F.sort_array(F.collect_set("search_term")).alias("_terms"),
-                 F.min("fetched_at").alias("first_fetched_at"),
-                 F.max("fetched_at").alias("last_fetched_at"))
-            .select("job_id", F.to_json("_terms").alias("search_terms"),
-                    F.size("_terms").alias("search_term_count"),
-                    "first_fetched_at", "last_fetched_at"))
+def search_context(raw: DataFrame, key: str = "job_id", term: str = "search_term",
+                   time_col: str = "fetched_at", prefix: str = "search_term") -> DataFrame:
+    """Per key the sorted distinct terms (JSON text), their count, first/last time.
+
+    The term set per key is bounded by the term vocabulary (the configured search
+    terms), and ``collect_set`` combines it map-side, so a hot key stays small.
+    """
+    first = "first_fetched_at" if time_col == "fetched_at" else f"first_{time_col}"
+    last = "last_fetched_at" if time_col == "fetched_at" else f"last_{time_col}"
+    return (raw.groupBy(key)
+            .agg(F.sort_array(F.collect_set(term)).alias("_terms"),
+                 F.min(time_col).alias(first),
+                 F.max(time_col).alias(last))
+            .select(key, F.to_json("_terms").alias(f"{prefix}s"),
+                    F.size("_terms").alias(f"{prefix}_count"), first, last))
 
 
 def shred_payload(df: DataFrame, payload_col: str = "raw_data") -> DataFrame:

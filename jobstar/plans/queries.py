@@ -336,3 +336,309 @@ def q_top_skills(spark, sf):
 def q_skill_limitation(spark, sf):
     s = Star(spark, sf)
     return skills.skill_limitation(s.stg, s.bridge)
+
+
+# ---------------------------------------------------------------- events and documents (direct inputs)
+
+from ..functions.text import collapse_whitespace  # noqa: E402
+from ..operators import parity, stats  # noqa: E402,F401
+from ..sources import landing  # noqa: E402
+from ..streaming.ingest import ingest_incremental  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from . import reports as R  # noqa: E402
+
+WS_SQL = O.WHITESPACE_CLASS
+
+
+@register("shred_events_json", "W5", """
+ SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_shred_events_json(spark, sf):
+    ev = Tables(spark, sf).events
+    return ev.select("event_id", F.from_json("props", "k string")["k"].try_cast("int").alias("k"))
+
+
+@register("events_latest", "W3", """
+ SELECT user_id, event_id, ts, event_type FROM (
+   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+ WHERE rn = 1""")
+def q_events_latest(spark, sf):
+    ev = Tables(spark, sf).events
+    return staging.dedup_latest(ev, "user_id", ("ts", "event_id")).select("user_id", "event_id", "ts", "event_type")
+
+
+@register("events_context", "W4", """
+ SELECT user_id, to_json(list_sort(list_distinct(list(event_type)))) AS event_types,
+   CAST(count(DISTINCT event_type) AS INTEGER) AS event_type_count, min(ts) AS first_ts, max(ts) AS last_ts
+ FROM events GROUP BY user_id""")
+def q_events_context(spark, sf):
+    return staging.search_context(Tables(spark, sf).events, "user_id", "event_type", "ts", "event_type")
+
+
+@register("clean_documents", "W6", f"""
+ SELECT doc_id, trim(regexp_replace(text, '{WS_SQL}+', ' ', 'g')) AS text_clean,
+   CAST(length(text) AS INTEGER) AS raw_length,
+   CAST(length(trim(regexp_replace(text, '{WS_SQL}+', ' ', 'g'))) AS INTEGER) AS clean_length
+ FROM documents""")
+def q_clean_documents(spark, sf):
+    d = Tables(spark, sf).documents
+    clean = collapse_whitespace(F.col("text"))
+    return d.select("doc_id", clean.alias("text_clean"), F.char_length("text").alias("raw_length"),
+                    F.char_length(clean).alias("clean_length"))
+
+
+def _clean_docs(spark, sf):
+    return Tables(spark, sf).documents.select("doc_id", collapse_whitespace(F.col("text")).alias("text_clean"))
+
+
+DOCS_SKILLS_SQL = O.with_ctes(O.SKILLS.split("dim_skill AS")[0].rstrip().rstrip(","), f"""
+docs AS (SELECT doc_id, trim(regexp_replace(text, '{WS_SQL}+', ' ', 'g')) AS text_clean FROM documents),
+doc_skills AS (SELECT DISTINCT d.doc_id, sd.skill_name FROM docs d CROSS JOIN skill_defs sd
+               WHERE d.text_clean IS NOT NULL AND regexp_matches(d.text_clean, sd.pattern))""")
+
+
+@register("match_skills_documents", "W27", DOCS_SKILLS_SQL + " SELECT doc_id, skill_name FROM doc_skills")
+def q_match_skills_documents(spark, sf):
+    return skills.match_skills(_clean_docs(spark, sf), "doc_id", "text_clean")
+
+
+@register("document_profile", "W24+W32", DOCS_SKILLS_SQL + """
+ SELECT count(*) AS total_docs, CAST(round(avg(length(text_clean)), 0) AS DOUBLE) AS avg_length,
+   count(*) FILTER (WHERE contains(text_clean, '$')) AS with_dollar,
+   count(*) FILTER (WHERE contains(text_clean, '…') OR contains(text_clean, '...')) AS truncated,
+   (SELECT count(DISTINCT doc_id) FROM doc_skills) AS docs_with_skill
+ FROM docs""")
+def q_document_profile(spark, sf):
+    from ..functions.text import contains_text
+    docs = _clean_docs(spark, sf)
+    c = F.col("text_clean")
+    base = docs.agg(F.count(F.lit(1)).alias("total_docs"),
+                    F.round(F.avg(F.char_length(c)), 0).cast("double").alias("avg_length"),
+                    F.count_if(contains_text(c, "$")).alias("with_dollar"),
+                    F.count_if(contains_text(c, "…") | contains_text(c, "...")).alias("truncated"))
+    hit = (skills.match_skills(docs, "doc_id", "text_clean").select("doc_id").distinct()
+           .agg(F.count(F.lit(1)).alias("docs_with_skill")))
+    return base.crossJoin(hit)
+
+
+# ---------------------------------------------------------------- landing, conforming, copies, stream
+
+LANDED_COLS = [c for c in RAW_COLS if c != "id"]
+
+
+def _feed_sql_cols() -> str:
+    return ("job_id, search_term, fetched_at, title, company_name, location_display, category_tag, "
+            "contract_type, contract_time, salary_min, salary_max, salary_is_predicted, latitude, longitude, "
+            "try_strptime(created, '%Y-%m-%dT%H:%M:%SZ') AS created_at")
+
+
+@register("read_feed", "W1", O.with_ctes(O.FEED) + f" SELECT {_feed_sql_cols()} FROM feed")
+def q_read_feed(spark, sf):
+    path = scratch_path(spark, "landing")
+    rows = feed_rows(Tables(spark, sf))
+    landing.land_pages(landing.pages_from_rows(rows), path)
+    return landing.read_feed(spark, path).select(*LANDED_COLS)
+
+
+CONFORM_SPLIT = "1997-01-01"
+
+
+@register("conform_raw", "W33", O.with_ctes(*O.CHAIN_RAW) + f"""
+ SELECT id, job_id, search_term, fetched_at, title, company_name, location_display, category_tag,
+   contract_type, contract_time, salary_min, salary_max,
+   CASE WHEN fetched_at < TIMESTAMP '{CONFORM_SPLIT}' THEN 0 ELSE salary_is_predicted END AS salary_is_predicted,
+   CASE WHEN fetched_at < TIMESTAMP '{CONFORM_SPLIT}' THEN NULL ELSE latitude END AS latitude,
+   CASE WHEN fetched_at < TIMESTAMP '{CONFORM_SPLIT}' THEN NULL ELSE longitude END AS longitude,
+   created_at FROM raw""")
+def q_conform_raw(spark, sf):
+    raw = Star(spark, sf).raw
+    old = F.col("fetched_at") < F.lit(CONFORM_SPLIT).cast("timestamp_ntz")
+    v1, v2 = scratch_path(spark, "raw-v1"), scratch_path(spark, "raw-v2")
+    # An older layout: no coordinates / prediction flag, salary_min stored as text.
+    (raw.where(old).drop("latitude", "longitude", "salary_is_predicted")
+        .withColumn("salary_min", F.col("salary_min").cast("string")).write.parquet(v1))
+    raw.where(~old).write.parquet(v2)
+    return landing.read_conformed(spark, [v1, v2], landing.RAW_SCHEMA,
+                                  {"salary_is_predicted": 0}).select(*RAW_COLS)
+
+
+@register("copy_to_bronze", "W34", O.with_ctes(*O.CHAIN_RAW) + """
+ SELECT 'raw_jobs' AS tbl, count(*) AS source_rows, count(*) AS copied_rows, 'MATCH' AS status FROM raw""")
+def q_copy_to_bronze(spark, sf):
+    return landing.copy_table(Star(spark, sf).raw, scratch_path(spark, "bronze"), "raw_jobs")
+
+
+PARITY_TABLES = ["stg_jobs", "dim_company", "dim_location", "dim_date", "dim_category", "dim_skill",
+                 "fact_job_postings", "bridge_job_skills"]
+
+
+def _star_tables(s: Star) -> dict[str, DataFrame]:
+    return {"stg_jobs": s.stg.drop("transformed_at"), "dim_company": s.dim_company,
+            "dim_location": s.dim_location, "dim_date": s.dim_date, "dim_category": s.dim_category,
+            "dim_skill": s.dim_skill, "fact_job_postings": s.fact, "bridge_job_skills": s.bridge}
+
+
+@register("parity_check", "W35", O.with_ctes(*O.CHAIN_SKILLS) + " " + " UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, count(*) AS rows_a, count(*) AS rows_b, true AS rows_match, true AS content_match "
+    f"FROM {src}" for t, src in zip(PARITY_TABLES, ["stg", "dim_company", "dim_location", "dim_date",
+                                                    "dim_category", "dim_skill", "fact", "bridge"])))
+def q_parity_check(spark, sf):
+    a = Star(spark, sf)
+    path = scratch_path(spark, "raw-copy")
+    a.raw.write.parquet(path)
+    b = Star(spark, raw=spark.read.parquet(path))
+    return parity.parity_check(_star_tables(a), _star_tables(b))
+
+
+@register("ingest_incremental", "W36", O.with_ctes(*O.CHAIN_RAW) +
+          f" SELECT {_cols_sql(LANDED_COLS)} FROM raw")
+def q_ingest_incremental(spark, sf):
+    rows = feed_rows(Tables(spark, sf))
+    pages = landing.pages_from_rows(rows).checkpoint(eager=True)
+    pages_root = scratch_path(spark, "landing-stream")
+    # One drop per fetch year, landed in fetch order, as a daily loader would.
+    year = F.substring("fetched_at", 1, 4)
+    years = [r[0] for r in pages.select(year.alias("y")).distinct().orderBy("y").collect()]
+    for y in years:
+        landing.land_pages(pages.where(year == y), f"{pages_root}/{y}")
+    out = ingest_incremental(spark, f"{pages_root}/*", scratch_path(spark, "raw-table"),
+                             scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).select(*LANDED_COLS)
+
+
+# ---------------------------------------------------------------- reports
+
+WIN_FROM, WIN_TO = "1996-01-01", "1997-12-31"
+PROBE_DAY, PROBE_YEAR = "1998-06-01", 1998
+TOP_N = 10
+
+
+def _pct_sql(num: str, den: str) -> str:
+    return f"CAST(round(100.0 * {num} / {den}, 1) AS DOUBLE)"
+
+
+STAR_SQL = O.with_ctes(*O.CHAIN_STAR)
+SKILL_SQL = O.with_ctes(*O.CHAIN_SKILLS)
+FACTS = "(SELECT count(*) FROM fact)"
+
+
+@register("postings_by_city", "R1", STAR_SQL + f"""
+ SELECT 'city' AS level, coalesce(dl.city, 'Unknown') AS location, count(*) AS postings,
+   {_pct_sql('count(*)', FACTS)} AS pct
+ FROM fact f LEFT JOIN dim_location dl ON f.location_id = dl.location_id
+ GROUP BY coalesce(dl.city, 'Unknown') ORDER BY postings DESC, location LIMIT {TOP_N}""")
+def q_postings_by_city(spark, sf):
+    return R.postings_by_location(Star(spark, sf), "city", TOP_N)
+
+
+@register("postings_by_company", "R2", STAR_SQL + f"""
+ SELECT dc.company_name, count(*) AS postings, {_pct_sql('count(*)', FACTS)} AS pct
+ FROM fact f JOIN dim_company dc ON f.company_id = dc.company_id
+ GROUP BY dc.company_id, dc.company_name ORDER BY postings DESC, company_name LIMIT {TOP_N}""")
+def q_postings_by_company(spark, sf):
+    return R.postings_by_company(Star(spark, sf), TOP_N)
+
+
+@register("salary_stats", "R3", STAR_SQL + f"""
+ SELECT count(salary_avg) AS n, CAST(round(avg(salary_avg), 0) AS DOUBLE) AS mean_salary,
+   round(quantile_cont(CAST(salary_avg AS DOUBLE), 0.5), 0) AS median_salary,
+   {_pct_sql('count(salary_avg)', 'count(*)')} AS pct_with_salary FROM fact""")
+def q_salary_stats(spark, sf):
+    return R.salary_stats(Star(spark, sf))
+
+
+def _band_sql() -> str:
+    edges = R.SALARY_BAND_EDGES
+    lower = "CASE " + " ".join(f"WHEN salary_avg >= {e} THEN {e}" for e in reversed(edges)) + " END"
+    names = []
+    for i, e in enumerate(edges):
+        n = f"{e // 1000}K+" if i == len(edges) - 1 else f"{e // 1000}-{edges[i + 1] // 1000}K"
+        names.append(f"WHEN {e} THEN '{n}'")
+    return lower, "CASE band_lower " + " ".join(names) + " END"
+
+
+_LOWER_SQL, _LABEL_SQL = _band_sql()
+
+
+@register("salary_histogram", "R4", STAR_SQL + f"""
+ , b AS (SELECT CAST({_LOWER_SQL} AS INTEGER) AS band_lower FROM fact WHERE salary_avg IS NOT NULL)
+ SELECT {_LABEL_SQL} AS band, band_lower, count(*) AS postings,
+   {_pct_sql('count(*)', '(SELECT count(*) FROM b)')} AS pct FROM b GROUP BY band_lower""")
+def q_salary_histogram(spark, sf):
+    return R.salary_histogram(Star(spark, sf))
+
+
+@register("daily_trend", "R5", STAR_SQL + """
+ SELECT dd.full_date, count(*) AS postings FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id
+ GROUP BY dd.full_date""")
+def q_daily_trend(spark, sf):
+    return R.daily_trend(Star(spark, sf))
+
+
+@register("monthly_profile", "R6", STAR_SQL + """
+ SELECT dd.year, dd.month, count(DISTINCT dd.date_id) AS active_days, count(*) AS postings
+ FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id GROUP BY dd.year, dd.month""")
+def q_monthly_profile(spark, sf):
+    return R.monthly_profile(Star(spark, sf))
+
+
+@register("analysis_window", "R7", STAR_SQL + f"""
+ SELECT min(dd.full_date) AS first_date, max(dd.full_date) AS last_date,
+   count(DISTINCT f.date_id) AS active_days, count(*) AS postings,
+   count(DISTINCT f.company_id) AS distinct_companies
+ FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id
+ WHERE dd.full_date BETWEEN DATE '{WIN_FROM}' AND DATE '{WIN_TO}'""")
+def q_analysis_window(spark, sf):
+    return R.analysis_window(Star(spark, sf), WIN_FROM, WIN_TO)
+
+
+@register("filter_probe", "R8", STAR_SQL + f"""
+ SELECT count(*) AS no_filter,
+   count(*) FILTER (WHERE dd.full_date <= DATE '{PROBE_DAY}') AS on_or_before,
+   count(*) FILTER (WHERE dd.full_date >= DATE '{PROBE_DAY}') AS on_or_after,
+   count(*) FILTER (WHERE dd.year = {PROBE_YEAR}) AS in_year
+ FROM fact f LEFT JOIN dim_date dd ON f.date_id = dd.date_id""")
+def q_filter_probe(spark, sf):
+    return R.filter_probe(Star(spark, sf), PROBE_DAY, PROBE_YEAR)
+
+
+@register("top_skills_in_window", "R9", SKILL_SQL + f"""
+ , wf AS (SELECT f.job_posting_id FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id
+          WHERE dd.full_date BETWEEN DATE '{WIN_FROM}' AND DATE '{WIN_TO}')
+ SELECT ds.skill_name, ds.skill_category, count(*) AS demand_count,
+   {_pct_sql('count(*)', '(SELECT count(*) FROM wf)')} AS pct_of_jobs
+ FROM bridge b JOIN wf ON b.job_posting_id = wf.job_posting_id JOIN dim_skill ds ON ds.skill_id = b.skill_id
+ GROUP BY ds.skill_id, ds.skill_name, ds.skill_category HAVING count(*) >= 5""")
+def q_top_skills_in_window(spark, sf):
+    return R.top_skills_in_window(Star(spark, sf), WIN_FROM, WIN_TO, 5)
+
+
+@register("skill_category_rollup", "R10", SKILL_SQL + """
+ SELECT ds.skill_category, count(*) AS mentions, count(DISTINCT b.job_posting_id) AS jobs
+ FROM bridge b JOIN dim_skill ds ON b.skill_id = ds.skill_id GROUP BY ds.skill_category""")
+def q_skill_category_rollup(spark, sf):
+    return R.skill_category_rollup(Star(spark, sf))
+
+
+@register("category_share", "R11", STAR_SQL + f"""
+ SELECT coalesce(dc.category_label, 'Unknown') AS category, count(*) AS postings,
+   {_pct_sql('count(*)', FACTS)} AS pct
+ FROM fact f LEFT JOIN dim_category dc ON f.category_id = dc.category_id
+ GROUP BY coalesce(dc.category_label, 'Unknown')""")
+def q_category_share(spark, sf):
+    return R.category_share(Star(spark, sf))
+
+
+@register("location_drilldown", "R12", STAR_SQL + """
+ SELECT dl.country, dl.state, dl.region, dl.city, dl.suburb,
+   CAST(grouping(dl.country, dl.state, dl.region, dl.city, dl.suburb) AS BIGINT) AS level, count(*) AS postings
+ FROM fact f LEFT JOIN dim_location dl ON f.location_id = dl.location_id
+ GROUP BY ROLLUP (dl.country, dl.state, dl.region, dl.city, dl.suburb)""")
+def q_location_drilldown(spark, sf):
+    return R.location_drilldown(Star(spark, sf))
+
+
+@register("multi_definition_jobs", "R13", STAR_SQL + f"""
+ SELECT search_term_count, count(*) AS jobs, {_pct_sql('count(*)', FACTS)} AS pct_of_all
+ FROM fact WHERE search_term_count > 1 GROUP BY search_term_count""")
+def q_multi_definition_jobs(spark, sf):
+    return R.multi_definition_jobs(Star(spark, sf))
