@@ -27,7 +27,11 @@ def upsert_raw(existing: DataFrame | None, batch: DataFrame,
     cols = [c for c in batch.columns]
     sources = [batch.withColumn("_src", F.lit(1))]
     if existing is not None:
-        sources.insert(0, existing.select(*cols).withColumn("_src", F.lit(0)))
+        # Order-only columns of the batch (e.g. page position) are NULL for table rows;
+        # table rows always precede batch rows anyway.
+        fill = [F.col(c) if c in existing.columns else F.lit(None).cast(batch.schema[c].dataType).alias(c)
+                for c in cols]
+        sources.insert(0, existing.select(*fill).withColumn("_src", F.lit(0)))
     allrows = sources[0]
     for s in sources[1:]:
         allrows = allrows.unionByName(s)

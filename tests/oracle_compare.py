@@ -50,7 +50,8 @@ def compare(spark_df, con, sql):
     if len(s_rows) != len(d_rows):
         problems.append(f"row count spark={len(s_rows)} duck={len(d_rows)}")
     if not problems and s_rows != d_rows:
-        diff_s = [r for r in s_rows if r not in set(d_rows)][:3]
-        diff_d = [r for r in d_rows if r not in set(s_rows)][:3]
+        ds, ss = set(d_rows), set(s_rows)
+        diff_s = [r for r in s_rows if r not in ds][:3]
+        diff_d = [r for r in d_rows if r not in ss][:3]
         problems.append(f"values differ: spark-only={diff_s} duck-only={diff_d}")
     return problems, len(s_rows)
