@@ -3,7 +3,7 @@
 ``row_number() over (order by key)`` would pull every row into one task. Instead:
 range-partition on the key and sort inside partitions (one shuffle), number rows
 inside each partition, count rows per partition (one row per partition), and add
-each partition's offset. The numbered frame is checkpointed to the reliable
+each partition's offset. The numbered frame is written to the reliable
 checkpoint folder first, so both passes see the same cut even if range bounds
 would be re-sampled or an executor is lost. The result equals
 ``row_number() over (order by key)`` for a unique key.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
@@ -33,8 +33,9 @@ def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int =
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
-                .withColumn("_mono", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+                .withColumn("_mono", F.monotonically_increasing_id()))
+    # Written once, so the counting pass and the numbering pass read the same cut.
+    ranged = materialize(ranged, "surrogate-key")
     part = F.shiftright(F.col("_mono"), _LOCAL_BITS)
     local = F.col("_mono") - F.shiftleft(part, _LOCAL_BITS)
     # One row per partition: its size and running offset. Bounded by the partition count.

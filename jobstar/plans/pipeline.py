@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import mart, salary, skills, staging
 from ..operators.upsert import upsert_raw
 from ..sources.standin import feed_rows
+from ..session import materialize
 from ..sources.tables import Tables
 
 
@@ -39,9 +40,9 @@ class Star:
 
     @cached_property
     def stg(self) -> DataFrame:
-        # Staging feeds every later layer; write it once to the reliable checkpoint
-        # folder so dimensions, fact, bridge and checks do not re-derive it.
-        return build_staging(self.raw).checkpoint(eager=True)
+        # Staging feeds every later layer; write it once as a table in the reliable
+        # checkpoint folder so dimensions, fact, bridge and checks do not re-derive it.
+        return materialize(build_staging(self.raw), "stg_jobs")
 
     @cached_property
     def dim_company(self) -> DataFrame:

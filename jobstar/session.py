@@ -59,3 +59,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the reliable checkpoint folder.
+
+    Unlike ``checkpoint()`` this computes the plan once (no second pass to write)
+    and later reads get column pruning and filter push-down. Survives executor
+    loss: the files live in the shared folder, not on an executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
