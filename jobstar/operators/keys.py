@@ -19,7 +19,7 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in
 
 
 # Frames with at most this many rows are numbered by one window in one task.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 50_000
 
 
 def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int = 1,

@@ -73,11 +73,14 @@ def match_skills(df: DataFrame, id_col: str, text_col: str, patterns=SKILL_PATTE
 
 
 def bridge_job_skills(fact: DataFrame, stg: DataFrame, skills: DataFrame) -> DataFrame:
-    """``bridge_job_skills(job_posting_id, skill_id)`` from fact x staging x vocabulary."""
-    texts = fact.select("job_posting_id", "job_id").join(
-        stg.select("job_id", "description_clean"), "job_id")
-    hits = match_skills(texts, "job_posting_id", "description_clean")
-    return (hits.join(bounded_broadcast(skills.select("skill_id", "skill_name"), 100_000), "skill_name")
+    """``bridge_job_skills(job_posting_id, skill_id)`` from fact x staging x vocabulary.
+
+    Matching runs on staging as it is partitioned (the regex work is the costly
+    part and stays fully parallel); only the hits are joined to the fact keys.
+    """
+    hits = match_skills(stg.select("job_id", "description_clean"), "job_id", "description_clean")
+    return (hits.join(fact.select("job_id", "job_posting_id"), "job_id")
+                .join(bounded_broadcast(skills.select("skill_id", "skill_name"), 100_000), "skill_name")
                 .select("job_posting_id", "skill_id"))
 
 

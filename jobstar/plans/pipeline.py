@@ -62,7 +62,9 @@ class Star:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return mart.load_fact(self.stg, self.dim_company, self.dim_location, self.dim_category)
+        # Written once as the fact table; every report and the bridge read it.
+        return materialize(mart.load_fact(self.stg, self.dim_company, self.dim_location, self.dim_category),
+                           "fact_job_postings")
 
     @cached_property
     def dim_skill(self) -> DataFrame:
@@ -70,4 +72,4 @@ class Star:
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return skills.bridge_job_skills(self.fact, self.stg, self.dim_skill)
+        return materialize(skills.bridge_job_skills(self.fact, self.stg, self.dim_skill), "bridge_job_skills")
