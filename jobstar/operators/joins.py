@@ -17,3 +17,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row global aggregate to every row of ``df``.
+
+    The DataFrame form of an uncorrelated scalar subquery: ``totals`` must be a
+    global ``agg`` (exactly one row), so the broadcast holds one row and no row
+    of ``df`` is ever paired with more than that one row.
+    """
+    return df.crossJoin(F.broadcast(totals))

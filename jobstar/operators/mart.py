@@ -119,3 +119,14 @@ def fact_integrity(fact: DataFrame) -> DataFrame:
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows whose non-null ``key`` has no row in ``dim`` (an enforced FK would refuse them)."""
     return fact.where(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")
+
+
+def fact_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Per foreign key: facts whose non-null key has no dimension row (``left_anti``),
+    the check an enforced FOREIGN KEY would make."""
+    frames = [orphan_keys(fact, dim, key).agg(F.count(F.lit(1)).alias("orphans"))
+              .select(F.lit(key).alias("fk"), "orphans") for key, dim in dims.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

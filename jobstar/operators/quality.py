@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import contains_text
+from .joins import with_totals
 
 
 def _one() -> Column:
@@ -110,19 +111,18 @@ def fuzzy_pair_count(df: DataFrame, keys: tuple[str, ...] = TIGHT_KEYS, date_col
         valid = valid & F.col(k).isNotNull()
     day = F.unix_date(F.col(date_col).cast("date"))
     counts = (df.where(valid).groupBy(*keys, day.alias("_day")).agg(F.count(_one()).alias("_n")))
-    same_day = counts.agg(F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0))
-                          .cast("long").alias("_same"))
+    same_day = counts.select((F.col("_n") * (F.col("_n") - 1) / 2).cast("long").alias("_v"))
     shifted = counts.select(*keys, F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + days)).alias("_day"),
                             F.col("_n").alias("_n0"))
-    cross = (shifted.join(counts, [*keys, "_day"])
-             .agg(F.coalesce(F.sum(F.col("_n0") * F.col("_n")), F.lit(0)).cast("long").alias("_cross")))
-    return same_day.crossJoin(cross).select((F.col("_same") + F.col("_cross")).alias("fuzzy_dup_pairs"))
+    other_day = shifted.join(counts, [*keys, "_day"]).select((F.col("_n0") * F.col("_n")).alias("_v"))
+    return (same_day.unionByName(other_day)
+            .agg(F.coalesce(F.sum("_v"), F.lit(0)).cast("long").alias("fuzzy_dup_pairs")))
 
 
 def fuzzy_dup_tight(stg: DataFrame, days: int = 7) -> DataFrame:
     """Re-posting pairs (same title, company, state, suburb; within ``days``)."""
     total = stg.agg(F.count(_one()).alias("_total"))
-    return fuzzy_pair_count(stg, TIGHT_KEYS, "posted_date", days).crossJoin(total).select(
+    return fuzzy_pair_count(stg, TIGHT_KEYS, "posted_date", days).transform(with_totals, total).select(
         F.lit("5b. Fuzzy dup (tightened)").alias("check_name"), "fuzzy_dup_pairs",
         _pct(F.col("fuzzy_dup_pairs"), F.col("_total")).alias("pct_of_total"))
 
@@ -140,7 +140,7 @@ def fuzzy_dup_loose(stg: DataFrame, keys: tuple[str, ...] = LOOSE_KEYS) -> DataF
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("rows_flagged"),
         F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0)).cast("long").alias("fuzzy_dup_pairs"))
     total = stg.agg(F.count(_one()).alias("_total"))
-    return flagged.crossJoin(total).select(
+    return flagged.transform(with_totals, total).select(
         F.lit("5a. Fuzzy dup (loose)").alias("check_name"), "rows_flagged", "fuzzy_dup_pairs",
         _pct(F.col("rows_flagged"), F.col("_total")).alias("pct_rows_flagged"))
 
@@ -149,7 +149,7 @@ def dq_category(stg: DataFrame) -> DataFrame:
     """Count and percent per category (NULL included), largest first."""
     per = stg.groupBy("category_tag").agg(F.count(_one()).alias("job_count"))
     total = stg.agg(F.count(_one()).alias("_total"))
-    return (per.crossJoin(total).select(
+    return (per.transform(with_totals, total).select(
         F.lit("6. Category diversity").alias("check_name"), "category_tag", "job_count",
         _pct(F.col("job_count"), F.col("_total")).alias("pct"))
         .orderBy(F.col("job_count").desc(), F.col("category_tag").asc_nulls_first()))
@@ -190,6 +190,7 @@ def dq_report(stg: DataFrame, as_of=None) -> DataFrame:
         F.count_if(F.col("salary_min_final") > F.col("salary_max_final")).alias("inverted_ranges"),
         F.count_if(avg > 1000000).alias("over_1m"),
         F.count_if((avg < 20000) & avg.isNotNull()).alias("under_20k"),
+        F.count_if(F.col("job_id") == "").alias("empty_job_ids"),
     ).select(
         "*",
         (F.col("total_rows") - F.col("distinct_job_ids")).alias("duplicate_pks"),

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.patterns import word_regex
 from ..functions.text import contains_text
 from ..functions.vocab import SKILL_PATTERNS
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, with_totals
 from .keys import surrogate_key
 
 VOCAB_SCHEMA = T.StructType([
@@ -107,7 +107,7 @@ def bridge_summary(bridge: DataFrame) -> DataFrame:
                        F.count(F.lit(1)).alias("jobs_with_skills"))
     skills = (bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("n"))
               .agg(F.count(F.lit(1)).alias("skills_matched")))
-    return jobs.crossJoin(skills).select(
+    return jobs.transform(with_totals, skills).select(
         F.lit("bridge summary").alias("check_name"), "total_links", "jobs_with_skills", "skills_matched",
         F.round(F.try_divide(F.col("total_links").cast("decimal(20,0)"), F.col("jobs_with_skills")), 2)
          .cast("double").alias("avg_skills_per_job"))
@@ -120,7 +120,7 @@ def _jobs_with_skill(bridge: DataFrame) -> DataFrame:
 def skill_coverage(fact: DataFrame, bridge: DataFrame) -> DataFrame:
     """Share of facts with at least one skill."""
     total = fact.agg(F.count(F.lit(1)).alias("total_jobs"))
-    return total.crossJoin(_jobs_with_skill(bridge)).select(
+    return total.transform(with_totals, _jobs_with_skill(bridge)).select(
         F.lit("skill coverage").alias("check_name"), "total_jobs", "jobs_with_skill",
         F.round(F.try_divide(100.0 * F.col("jobs_with_skill"), F.col("total_jobs")), 1)
          .cast("double").alias("pct_coverage"))
@@ -135,7 +135,7 @@ def top_skills(bridge: DataFrame, skills: DataFrame, fact: DataFrame) -> DataFra
     demand = bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("demand_count"))
     total = fact.agg(F.count(F.lit(1)).alias("_total"))
     return (demand.join(skills.select("skill_id", "skill_name", "skill_category"), "skill_id")
-            .crossJoin(total)
+            .transform(with_totals, total)
             .select("skill_name", "skill_category", "demand_count",
                     F.round(F.try_divide(100.0 * F.col("demand_count"), F.col("_total")), 1)
                      .cast("double").alias("pct_of_jobs"))
@@ -149,7 +149,7 @@ def skill_limitation(stg: DataFrame, bridge: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_jobs"),
         F.round(F.avg("description_length"), 0).cast("double").alias("avg_desc_length"),
         F.count_if(contains_text(clean, "…") | contains_text(clean, "...")).alias("truncated_descriptions"))
-    return base.crossJoin(_jobs_with_skill(bridge)).select(
+    return base.transform(with_totals, _jobs_with_skill(bridge)).select(
         F.lit("skill extraction limitation").alias("check_name"), "total_jobs", "avg_desc_length",
         "truncated_descriptions", "jobs_with_skill",
         F.round(F.try_divide(100.0 * F.col("jobs_with_skill"), F.col("total_jobs")), 1)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .keys import surrogate_key
+from .joins import with_totals
 
 
 def exact_quantile(df: DataFrame, value_col: str, q: float, tiebreak: list[str]) -> DataFrame:
@@ -21,7 +22,7 @@ def exact_quantile(df: DataFrame, value_col: str, q: float, tiebreak: list[str])
     n = vals.agg(F.count(F.lit(1)).alias("n"))
     pos = (F.col("n") - 1) * q
     lo, hi = F.floor(pos), F.ceil(pos)
-    picked = (ranked.crossJoin(n)
+    picked = (ranked.transform(with_totals, n)
               .where((F.col("_rank") == lo) | (F.col("_rank") == hi))
               .groupBy("n")
               .agg(F.min_by(F.col(value_col), F.col("_rank")).cast("double").alias("_lo"),

@@ -36,7 +36,8 @@ class Star:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self._raw if self._raw is not None else build_raw(self.tables)
+        # The merged raw table is a stored layer (bronze); write it once.
+        return self._raw if self._raw is not None else materialize(build_raw(self.tables), "raw_jobs")
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -73,3 +74,19 @@ class Star:
     @cached_property
     def bridge(self) -> DataFrame:
         return materialize(skills.bridge_job_skills(self.fact, self.stg, self.dim_skill), "bridge_job_skills")
+
+
+_BUILT: dict[tuple[str, str], Star] = {}
+
+
+def star_for(spark: SparkSession, sf_dir: str) -> Star:
+    """The star built from ``sf_dir`` in this Spark application, built at most once.
+
+    Layers are written tables, so later queries read them instead of re-deriving
+    staging, keys, fact and bridge.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    star = _BUILT.get(key)
+    if star is None or star.spark is not spark:
+        star = _BUILT[key] = Star(spark, sf_dir)
+    return star

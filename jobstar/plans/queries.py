@@ -16,7 +16,7 @@ from ..operators.upsert import upsert_raw
 from ..sources.standin import feed_rows
 from ..sources.tables import Tables
 from . import oracle_sql as O
-from .pipeline import Star
+from .pipeline import Star, star_for
 
 
 @dataclass
@@ -58,13 +58,13 @@ def q_upsert_raw(spark, sf):
    SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY fetched_at DESC, id DESC) AS rn FROM raw)
  WHERE rn = 1""")
 def q_dedup_latest(spark, sf):
-    return staging.dedup_latest(Star(spark, sf).raw).select("job_id", "id", "search_term", "fetched_at")
+    return staging.dedup_latest(star_for(spark, sf).raw).select("job_id", "id", "search_term", "fetched_at")
 
 
 @register("search_context", "W4", O.with_ctes(*O.CHAIN_RAW, O.STAGE0) +
           " SELECT job_id, search_terms, search_term_count, first_fetched_at, last_fetched_at FROM search_agg")
 def q_search_context(spark, sf):
-    return staging.search_context(Star(spark, sf).raw)
+    return staging.search_context(star_for(spark, sf).raw)
 
 
 STAGE_COLS = [c for c in staging.STAGING_COLUMNS if c not in (
@@ -74,7 +74,7 @@ STAGE_COLS = [c for c in staging.STAGING_COLUMNS if c not in (
 
 @register("stage_jobs", "W5-W7", O.with_ctes(*O.CHAIN_RAW, O.STAGE0) + f" SELECT {_cols_sql(STAGE_COLS)} FROM stage0")
 def q_stage_jobs(spark, sf):
-    return staging.load_staging(Star(spark, sf).raw).select(*STAGE_COLS)
+    return staging.load_staging(star_for(spark, sf).raw).select(*STAGE_COLS)
 
 
 @register("staging_summary", "W7v", O.with_ctes(*O.CHAIN_RAW, O.STAGE0) + """
@@ -82,7 +82,7 @@ def q_stage_jobs(spark, sf):
         count(*) FILTER (WHERE search_term_count > 1) AS multi_search_jobs,
         max(search_term_count) AS max_search_terms FROM stage0""")
 def q_staging_summary(spark, sf):
-    return staging.staging_summary(Star(spark, sf).stg)
+    return staging.staging_summary(star_for(spark, sf).stg)
 
 
 SAL_COLS = ["job_id", "salary_min_api", "salary_max_api", "salary_currency", "salary_period",
@@ -91,7 +91,7 @@ SAL_COLS = ["job_id", "salary_min_api", "salary_max_api", "salary_currency", "sa
 
 @register("finalize_salary", "W8", O.with_ctes(*O.CHAIN_STG) + f" SELECT {_cols_sql(SAL_COLS)} FROM stg")
 def q_finalize_salary(spark, sf):
-    return Star(spark, sf).stg.select(*SAL_COLS)
+    return star_for(spark, sf).stg.select(*SAL_COLS)
 
 
 @register("salary_coverage", "W8v", O.with_ctes(*O.CHAIN_STG) + """
@@ -101,7 +101,7 @@ def q_finalize_salary(spark, sf):
    CAST(round(avg(salary_avg_final), 0) AS DOUBLE) AS avg_salary,
    CAST(round(max(salary_avg_final), 0) AS DOUBLE) AS max_salary FROM stg""")
 def q_salary_coverage(spark, sf):
-    return salary.salary_coverage(Star(spark, sf).stg)
+    return salary.salary_coverage(star_for(spark, sf).stg)
 
 
 @register("salary_sanity", "W8v", O.with_ctes(*O.CHAIN_STG) + """
@@ -110,7 +110,7 @@ def q_salary_coverage(spark, sf):
    count(*) FILTER (WHERE salary_avg_final > 1000000) AS over_1m,
    count(*) FILTER (WHERE salary_avg_final < 20000 AND salary_avg_final IS NOT NULL) AS under_20k FROM stg""")
 def q_salary_sanity(spark, sf):
-    return salary.salary_sanity(Star(spark, sf).stg)
+    return salary.salary_sanity(star_for(spark, sf).stg)
 
 
 # ---------------------------------------------------------------- star
@@ -118,27 +118,27 @@ def q_salary_sanity(spark, sf):
 
 @register("dim_company", "W9+W10", O.with_ctes(*O.CHAIN_STAR) + " SELECT * FROM dim_company")
 def q_dim_company(spark, sf):
-    return Star(spark, sf).dim_company
+    return star_for(spark, sf).dim_company
 
 
 @register("dim_location", "W9+W11", O.with_ctes(*O.CHAIN_STAR) + " SELECT * FROM dim_location")
 def q_dim_location(spark, sf):
-    return Star(spark, sf).dim_location
+    return star_for(spark, sf).dim_location
 
 
 @register("dim_date", "W12", O.with_ctes(*O.CHAIN_STAR) + " SELECT * FROM dim_date")
 def q_dim_date(spark, sf):
-    return Star(spark, sf).dim_date
+    return star_for(spark, sf).dim_date
 
 
 @register("dim_category", "W9+W13", O.with_ctes(*O.CHAIN_STAR) + " SELECT * FROM dim_category")
 def q_dim_category(spark, sf):
-    return Star(spark, sf).dim_category
+    return star_for(spark, sf).dim_category
 
 
 @register("fact_postings", "W9+W14", O.with_ctes(*O.CHAIN_STAR) + " SELECT * FROM fact")
 def q_fact_postings(spark, sf):
-    return Star(spark, sf).fact
+    return star_for(spark, sf).fact
 
 
 @register("mart_row_counts", "W15", O.with_ctes(*O.CHAIN_STAR) + """
@@ -148,7 +148,7 @@ def q_fact_postings(spark, sf):
  UNION ALL SELECT 'dim_category', count(*) FROM dim_category
  UNION ALL SELECT 'fact_job_postings', count(*) FROM fact""")
 def q_mart_row_counts(spark, sf):
-    s = Star(spark, sf)
+    s = star_for(spark, sf)
     return mart.mart_row_counts({"dim_company": s.dim_company, "dim_location": s.dim_location,
                                  "dim_date": s.dim_date, "dim_category": s.dim_category,
                                  "fact_job_postings": s.fact})
@@ -161,7 +161,22 @@ def q_mart_row_counts(spark, sf):
    count(*) FILTER (WHERE date_id IS NULL) AS missing_date,
    count(*) FILTER (WHERE category_id IS NULL) AS missing_category FROM fact""")
 def q_fact_integrity(spark, sf):
-    return mart.fact_integrity(Star(spark, sf).fact)
+    return mart.fact_integrity(star_for(spark, sf).fact)
+
+
+@register("fact_orphans", "W16", O.with_ctes(*O.CHAIN_STAR) + """
+ SELECT 'company_id' AS fk, count(*) AS orphans FROM fact f
+   WHERE f.company_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_company d WHERE d.company_id = f.company_id)
+ UNION ALL SELECT 'location_id', count(*) FROM fact f
+   WHERE f.location_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_location d WHERE d.location_id = f.location_id)
+ UNION ALL SELECT 'date_id', count(*) FROM fact f
+   WHERE f.date_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)
+ UNION ALL SELECT 'category_id', count(*) FROM fact f
+   WHERE f.category_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_category d WHERE d.category_id = f.category_id)""")
+def q_fact_orphans(spark, sf):
+    s = star_for(spark, sf)
+    return mart.fact_orphans(s.fact, {"company_id": s.dim_company, "location_id": s.dim_location,
+                                      "date_id": s.dim_date, "category_id": s.dim_category})
 
 
 # ---------------------------------------------------------------- quality
@@ -172,7 +187,7 @@ def q_fact_integrity(spark, sf):
    count(*) - count(DISTINCT job_id) AS duplicate_pks,
    CASE WHEN count(*) = count(DISTINCT job_id) THEN 'PASS' ELSE 'FAIL' END AS status FROM stg""")
 def q_dq_pk(spark, sf):
-    return quality.dq_pk(Star(spark, sf).stg)
+    return quality.dq_pk(star_for(spark, sf).stg)
 
 
 NULLS_SQL = """count(*) FILTER (WHERE title IS NULL) AS null_title,
@@ -197,19 +212,19 @@ SALAVAIL_SQL = """count(salary_min_api) AS has_api_salary_min, count(salary_max_
 @register("dq_nulls", "W18", O.with_ctes(*O.CHAIN_STG) +
           f" SELECT '2. NULL completeness' AS check_name, count(*) AS total, {NULLS_SQL} FROM stg")
 def q_dq_nulls(spark, sf):
-    return quality.dq_nulls(Star(spark, sf).stg)
+    return quality.dq_nulls(star_for(spark, sf).stg)
 
 
 @register("dq_location", "W19", O.with_ctes(*O.CHAIN_STG) +
           f" SELECT '3. Location completeness' AS check_name, count(*) AS total, {LOC_SQL} FROM stg")
 def q_dq_location(spark, sf):
-    return quality.dq_location(Star(spark, sf).stg)
+    return quality.dq_location(star_for(spark, sf).stg)
 
 
 @register("dq_dates", "W20", O.with_ctes(*O.CHAIN_STG) +
           f" SELECT '4. Date validity' AS check_name, count(*) AS total, {DATES_SQL} AS status FROM stg")
 def q_dq_dates(spark, sf):
-    return quality.dq_dates(Star(spark, sf).stg, O.AS_OF)
+    return quality.dq_dates(star_for(spark, sf).stg, O.AS_OF)
 
 
 @register("fuzzy_dup_tight", "W21", O.with_ctes(*O.CHAIN_STG) + """
@@ -220,7 +235,7 @@ def q_dq_dates(spark, sf):
       AND a.state = b.state AND a.suburb = b.suburb AND a.job_id < b.job_id
       AND abs(datediff('day', b.posted_date, a.posted_date)) <= 7) tight_pairs""")
 def q_fuzzy_dup_tight(spark, sf):
-    return quality.fuzzy_dup_tight(Star(spark, sf).stg)
+    return quality.fuzzy_dup_tight(star_for(spark, sf).stg)
 
 
 @register("fuzzy_dup_orders", "W21", """
@@ -245,7 +260,7 @@ def q_fuzzy_dup_orders(spark, sf):
      AS pct_rows_flagged
  FROM g""")
 def q_fuzzy_dup_loose(spark, sf):
-    return quality.fuzzy_dup_loose(Star(spark, sf).stg)
+    return quality.fuzzy_dup_loose(star_for(spark, sf).stg)
 
 
 @register("dq_category", "W23", O.with_ctes(*O.CHAIN_STG) + """
@@ -253,13 +268,13 @@ def q_fuzzy_dup_loose(spark, sf):
    CAST(round(100.0 * count(*) / (SELECT count(*) FROM stg), 1) AS DOUBLE) AS pct
  FROM stg GROUP BY category_tag""")
 def q_dq_category(spark, sf):
-    return quality.dq_category(Star(spark, sf).stg)
+    return quality.dq_category(star_for(spark, sf).stg)
 
 
 @register("dq_salary_availability", "W24", O.with_ctes(*O.CHAIN_STG) +
           f" SELECT '7. Salary availability' AS check_name, count(*) AS total, {SALAVAIL_SQL} FROM stg")
 def q_dq_salary_availability(spark, sf):
-    return quality.dq_salary_availability(Star(spark, sf).stg)
+    return quality.dq_salary_availability(star_for(spark, sf).stg)
 
 
 @register("dq_report", "W25", O.with_ctes(*O.CHAIN_STG) + f"""
@@ -272,11 +287,12 @@ def q_dq_salary_availability(spark, sf):
    count(*) FILTER (WHERE salary_min_final > salary_max_final) AS inverted_ranges,
    count(*) FILTER (WHERE salary_avg_final > 1000000) AS over_1m,
    count(*) FILTER (WHERE salary_avg_final < 20000 AND salary_avg_final IS NOT NULL) AS under_20k,
+   count(*) FILTER (WHERE job_id = '') AS empty_job_ids,
    count(*) - count(DISTINCT job_id) AS duplicate_pks,
    CASE WHEN count(*) = count(DISTINCT job_id) THEN 'PASS' ELSE 'FAIL' END AS pk_status
  FROM stg""")
 def q_dq_report(spark, sf):
-    return quality.dq_report(Star(spark, sf).stg, O.AS_OF)
+    return quality.dq_report(star_for(spark, sf).stg, O.AS_OF)
 
 
 # ---------------------------------------------------------------- skills
@@ -284,7 +300,7 @@ def q_dq_report(spark, sf):
 
 @register("match_skills", "W27", O.with_ctes(*O.CHAIN_SKILLS) + " SELECT job_posting_id, skill_id FROM bridge")
 def q_match_skills(spark, sf):
-    return Star(spark, sf).bridge
+    return star_for(spark, sf).bridge
 
 
 @register("skill_category_counts", "W26+W28", O.with_ctes(*O.CHAIN_SKILLS) + """
@@ -292,7 +308,7 @@ def q_match_skills(spark, sf):
    count(*) FILTER (WHERE d.skill_id IN (SELECT skill_id FROM bridge)) AS skills_matched
  FROM dim_skill d GROUP BY d.skill_category""")
 def q_skill_category_counts(spark, sf):
-    s = Star(spark, sf)
+    s = star_for(spark, sf)
     return skills.skill_category_counts(s.dim_skill, s.bridge)
 
 
@@ -302,7 +318,7 @@ def q_skill_category_counts(spark, sf):
    CAST(round(CAST(count(*) AS DECIMAL(20,0)) / nullif(count(DISTINCT job_posting_id), 0), 2) AS DOUBLE)
      AS avg_skills_per_job FROM bridge""")
 def q_bridge_summary(spark, sf):
-    return skills.bridge_summary(Star(spark, sf).bridge)
+    return skills.bridge_summary(star_for(spark, sf).bridge)
 
 
 @register("skill_coverage", "W30", O.with_ctes(*O.CHAIN_SKILLS) + """
@@ -311,7 +327,7 @@ def q_bridge_summary(spark, sf):
    CAST(round(100.0 * count(DISTINCT job_posting_id) / (SELECT count(*) FROM fact), 1) AS DOUBLE) AS pct_coverage
  FROM bridge""")
 def q_skill_coverage(spark, sf):
-    s = Star(spark, sf)
+    s = star_for(spark, sf)
     return skills.skill_coverage(s.fact, s.bridge)
 
 
@@ -321,7 +337,7 @@ def q_skill_coverage(spark, sf):
  FROM bridge b JOIN dim_skill ds ON b.skill_id = ds.skill_id
  GROUP BY ds.skill_id, ds.skill_name, ds.skill_category""")
 def q_top_skills(spark, sf):
-    s = Star(spark, sf)
+    s = star_for(spark, sf)
     return skills.top_skills(s.bridge, s.dim_skill, s.fact)
 
 
@@ -334,13 +350,14 @@ def q_top_skills(spark, sf):
    CAST(round(100.0 * (SELECT count(DISTINCT job_posting_id) FROM bridge) / (SELECT count(*) FROM stg), 1)
      AS DOUBLE) AS pct_coverage""")
 def q_skill_limitation(spark, sf):
-    s = Star(spark, sf)
+    s = star_for(spark, sf)
     return skills.skill_limitation(s.stg, s.bridge)
 
 
 # ---------------------------------------------------------------- events and documents (direct inputs)
 
 from ..functions.text import collapse_whitespace  # noqa: E402
+from ..operators.joins import with_totals  # noqa: E402
 from ..operators import parity, stats  # noqa: E402,F401
 from ..sources import landing  # noqa: E402
 from ..streaming.ingest import ingest_incremental  # noqa: E402
@@ -417,7 +434,7 @@ def q_document_profile(spark, sf):
                     F.count_if(contains_text(c, "…") | contains_text(c, "...")).alias("truncated"))
     hit = (skills.match_skills(docs, "doc_id", "text_clean").select("doc_id").distinct()
            .agg(F.count(F.lit(1)).alias("docs_with_skill")))
-    return base.crossJoin(hit)
+    return base.transform(with_totals, hit)
 
 
 # ---------------------------------------------------------------- landing, conforming, copies, stream
@@ -450,7 +467,7 @@ CONFORM_SPLIT = "1997-01-01"
    CASE WHEN fetched_at < TIMESTAMP '{CONFORM_SPLIT}' THEN NULL ELSE longitude END AS longitude,
    created_at FROM raw""")
 def q_conform_raw(spark, sf):
-    raw = Star(spark, sf).raw
+    raw = star_for(spark, sf).raw
     old = F.col("fetched_at") < F.lit(CONFORM_SPLIT).cast("timestamp_ntz")
     v1, v2 = scratch_path(spark, "raw-v1"), scratch_path(spark, "raw-v2")
     # An older layout: no coordinates / prediction flag, salary_min stored as text.
@@ -464,7 +481,7 @@ def q_conform_raw(spark, sf):
 @register("copy_to_bronze", "W34", O.with_ctes(*O.CHAIN_RAW) + """
  SELECT 'raw_jobs' AS tbl, count(*) AS source_rows, count(*) AS copied_rows, 'MATCH' AS status FROM raw""")
 def q_copy_to_bronze(spark, sf):
-    return landing.copy_table(Star(spark, sf).raw, scratch_path(spark, "bronze"), "raw_jobs")
+    return landing.copy_table(star_for(spark, sf).raw, scratch_path(spark, "bronze"), "raw_jobs")
 
 
 PARITY_TABLES = ["stg_jobs", "dim_company", "dim_location", "dim_date", "dim_category", "dim_skill",
@@ -482,7 +499,7 @@ def _star_tables(s: Star) -> dict[str, DataFrame]:
     f"FROM {src}" for t, src in zip(PARITY_TABLES, ["stg", "dim_company", "dim_location", "dim_date",
                                                     "dim_category", "dim_skill", "fact", "bridge"])))
 def q_parity_check(spark, sf):
-    a = Star(spark, sf)
+    a = star_for(spark, sf)
     path = scratch_path(spark, "raw-copy")
     a.raw.write.parquet(path)
     b = Star(spark, raw=spark.read.parquet(path))
@@ -527,7 +544,7 @@ FACTS = "(SELECT count(*) FROM fact)"
  FROM fact f LEFT JOIN dim_location dl ON f.location_id = dl.location_id
  GROUP BY coalesce(dl.city, 'Unknown') ORDER BY postings DESC, location LIMIT {TOP_N}""")
 def q_postings_by_city(spark, sf):
-    return R.postings_by_location(Star(spark, sf), "city", TOP_N)
+    return R.postings_by_location(star_for(spark, sf), "city", TOP_N)
 
 
 @register("postings_by_company", "R2", STAR_SQL + f"""
@@ -535,7 +552,7 @@ def q_postings_by_city(spark, sf):
  FROM fact f JOIN dim_company dc ON f.company_id = dc.company_id
  GROUP BY dc.company_id, dc.company_name ORDER BY postings DESC, company_name LIMIT {TOP_N}""")
 def q_postings_by_company(spark, sf):
-    return R.postings_by_company(Star(spark, sf), TOP_N)
+    return R.postings_by_company(star_for(spark, sf), TOP_N)
 
 
 @register("salary_stats", "R3", STAR_SQL + f"""
@@ -543,7 +560,7 @@ def q_postings_by_company(spark, sf):
    round(quantile_cont(CAST(salary_avg AS DOUBLE), 0.5), 0) AS median_salary,
    {_pct_sql('count(salary_avg)', 'count(*)')} AS pct_with_salary FROM fact""")
 def q_salary_stats(spark, sf):
-    return R.salary_stats(Star(spark, sf))
+    return R.salary_stats(star_for(spark, sf))
 
 
 def _band_sql() -> str:
@@ -564,21 +581,21 @@ _LOWER_SQL, _LABEL_SQL = _band_sql()
  SELECT {_LABEL_SQL} AS band, band_lower, count(*) AS postings,
    {_pct_sql('count(*)', '(SELECT count(*) FROM b)')} AS pct FROM b GROUP BY band_lower""")
 def q_salary_histogram(spark, sf):
-    return R.salary_histogram(Star(spark, sf))
+    return R.salary_histogram(star_for(spark, sf))
 
 
 @register("daily_trend", "R5", STAR_SQL + """
  SELECT dd.full_date, count(*) AS postings FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id
  GROUP BY dd.full_date""")
 def q_daily_trend(spark, sf):
-    return R.daily_trend(Star(spark, sf))
+    return R.daily_trend(star_for(spark, sf))
 
 
 @register("monthly_profile", "R6", STAR_SQL + """
  SELECT dd.year, dd.month, count(DISTINCT dd.date_id) AS active_days, count(*) AS postings
  FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id GROUP BY dd.year, dd.month""")
 def q_monthly_profile(spark, sf):
-    return R.monthly_profile(Star(spark, sf))
+    return R.monthly_profile(star_for(spark, sf))
 
 
 @register("analysis_window", "R7", STAR_SQL + f"""
@@ -588,7 +605,7 @@ def q_monthly_profile(spark, sf):
  FROM fact f JOIN dim_date dd ON f.date_id = dd.date_id
  WHERE dd.full_date BETWEEN DATE '{WIN_FROM}' AND DATE '{WIN_TO}'""")
 def q_analysis_window(spark, sf):
-    return R.analysis_window(Star(spark, sf), WIN_FROM, WIN_TO)
+    return R.analysis_window(star_for(spark, sf), WIN_FROM, WIN_TO)
 
 
 @register("filter_probe", "R8", STAR_SQL + f"""
@@ -598,7 +615,7 @@ def q_analysis_window(spark, sf):
    count(*) FILTER (WHERE dd.year = {PROBE_YEAR}) AS in_year
  FROM fact f LEFT JOIN dim_date dd ON f.date_id = dd.date_id""")
 def q_filter_probe(spark, sf):
-    return R.filter_probe(Star(spark, sf), PROBE_DAY, PROBE_YEAR)
+    return R.filter_probe(star_for(spark, sf), PROBE_DAY, PROBE_YEAR)
 
 
 @register("top_skills_in_window", "R9", SKILL_SQL + f"""
@@ -609,14 +626,14 @@ def q_filter_probe(spark, sf):
  FROM bridge b JOIN wf ON b.job_posting_id = wf.job_posting_id JOIN dim_skill ds ON ds.skill_id = b.skill_id
  GROUP BY ds.skill_id, ds.skill_name, ds.skill_category HAVING count(*) >= 5""")
 def q_top_skills_in_window(spark, sf):
-    return R.top_skills_in_window(Star(spark, sf), WIN_FROM, WIN_TO, 5)
+    return R.top_skills_in_window(star_for(spark, sf), WIN_FROM, WIN_TO, 5)
 
 
 @register("skill_category_rollup", "R10", SKILL_SQL + """
  SELECT ds.skill_category, count(*) AS mentions, count(DISTINCT b.job_posting_id) AS jobs
  FROM bridge b JOIN dim_skill ds ON b.skill_id = ds.skill_id GROUP BY ds.skill_category""")
 def q_skill_category_rollup(spark, sf):
-    return R.skill_category_rollup(Star(spark, sf))
+    return R.skill_category_rollup(star_for(spark, sf))
 
 
 @register("category_share", "R11", STAR_SQL + f"""
@@ -625,7 +642,7 @@ def q_skill_category_rollup(spark, sf):
  FROM fact f LEFT JOIN dim_category dc ON f.category_id = dc.category_id
  GROUP BY coalesce(dc.category_label, 'Unknown')""")
 def q_category_share(spark, sf):
-    return R.category_share(Star(spark, sf))
+    return R.category_share(star_for(spark, sf))
 
 
 @register("location_drilldown", "R12", STAR_SQL + """
@@ -634,11 +651,11 @@ def q_category_share(spark, sf):
  FROM fact f LEFT JOIN dim_location dl ON f.location_id = dl.location_id
  GROUP BY ROLLUP (dl.country, dl.state, dl.region, dl.city, dl.suburb)""")
 def q_location_drilldown(spark, sf):
-    return R.location_drilldown(Star(spark, sf))
+    return R.location_drilldown(star_for(spark, sf))
 
 
 @register("multi_definition_jobs", "R13", STAR_SQL + f"""
  SELECT search_term_count, count(*) AS jobs, {_pct_sql('count(*)', FACTS)} AS pct_of_all
  FROM fact WHERE search_term_count > 1 GROUP BY search_term_count""")
 def q_multi_definition_jobs(spark, sf):
-    return R.multi_definition_jobs(Star(spark, sf))
+    return R.multi_definition_jobs(star_for(spark, sf))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, with_totals
 from ..operators.mart import DIM_BROADCAST_ROWS, LOCATION_LEVELS
 from ..operators.stats import exact_quantile
 from .pipeline import Star
@@ -52,7 +52,7 @@ def postings_by_location(s: Star, level: str = "city", top: int = 10) -> DataFra
     named = per_loc.join(_dim(s.dim_location.select("location_id", level)), "location_id", "left")
     per = named.groupBy(F.coalesce(F.col(level), F.lit("Unknown")).alias("location")).agg(
         F.sum("_n").alias("postings"))
-    return (per.crossJoin(_total(s.fact))
+    return (per.transform(with_totals, _total(s.fact))
             .select(F.lit(level).alias("level"), "location", "postings",
                     _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), F.col("location")).limit(top))
@@ -63,7 +63,7 @@ def postings_by_company(s: Star, top: int = 10) -> DataFrame:
     per = (s.fact.where(F.col("company_id").isNotNull())
            .groupBy("company_id").agg(F.count(_one()).alias("postings")))
     return (per.join(_dim(s.dim_company.select("company_id", "company_name")), "company_id")
-            .crossJoin(_total(s.fact))
+            .transform(with_totals, _total(s.fact))
             .select("company_name", "postings", _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), F.col("company_name")).limit(top))
 
@@ -75,7 +75,7 @@ def salary_stats(s: Star) -> DataFrame:
                   F.round(F.avg("salary_avg"), 0).cast("double").alias("mean_salary"))
     med = exact_quantile(f, "salary_avg", 0.5, ["job_posting_id"]).select(
         F.round(F.col("value"), 0).alias("median_salary"))
-    return basic.crossJoin(med).select(
+    return basic.transform(with_totals, med).select(
         "n", "mean_salary", "median_salary", _pct(F.col("n"), F.col("total_jobs")).alias("pct_with_salary"))
 
 
@@ -98,7 +98,7 @@ def salary_histogram(s: Star) -> DataFrame:
     per = f.groupBy(lower.alias("band_lower")).agg(F.count(_one()).alias("postings"))
     _, lab = band_label(F.col("band_lower"))
     tot = f.agg(F.count(_one()).alias("_total"))
-    return (per.crossJoin(tot).select(lab.alias("band"), "band_lower", "postings",
+    return (per.transform(with_totals, tot).select(lab.alias("band"), "band_lower", "postings",
                                       _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy("band_lower"))
 
@@ -130,7 +130,7 @@ def analysis_window(s: Star, start: str, end: str) -> DataFrame:
     companies = (f.where(F.col("company_id").isNotNull()).select("company_id").distinct()
                  .agg(F.count(_one()).alias("distinct_companies")))
     d = lambda c: F.to_date(F.col(c).cast("string"), "yyyyMMdd")
-    return days.crossJoin(companies).select(
+    return days.transform(with_totals, companies).select(
         d("_first").alias("first_date"), d("_last").alias("last_date"), "active_days", "postings",
         "distinct_companies")
 
@@ -153,7 +153,7 @@ def top_skills_in_window(s: Star, start: str, end: str, min_count: int = 5) -> D
               .groupBy("skill_id").agg(F.count(_one()).alias("demand_count"))
               .where(F.col("demand_count") >= min_count))
     return (demand.join(_dim(s.dim_skill.select("skill_id", "skill_name", "skill_category")), "skill_id")
-            .crossJoin(f.agg(F.count(_one()).alias("_total")))
+            .transform(with_totals, f.agg(F.count(_one()).alias("_total")))
             .select("skill_name", "skill_category", "demand_count",
                     _pct(F.col("demand_count"), F.col("_total")).alias("pct_of_jobs"))
             .orderBy(F.col("demand_count").desc(), "skill_name"))
@@ -174,7 +174,7 @@ def category_share(s: Star) -> DataFrame:
     named = per.join(_dim(s.dim_category.select("category_id", "category_label")), "category_id", "left")
     out = named.groupBy(F.coalesce("category_label", F.lit("Unknown")).alias("category")).agg(
         F.sum("_n").alias("postings"))
-    return (out.crossJoin(_total(s.fact))
+    return (out.transform(with_totals, _total(s.fact))
             .select("category", "postings", _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), "category"))
 
@@ -196,6 +196,6 @@ def multi_definition_jobs(s: Star) -> DataFrame:
     """Postings found under more than one search term, by number of terms."""
     per = (s.fact.where(F.col("search_term_count") > 1)
            .groupBy("search_term_count").agg(F.count(_one()).alias("jobs")))
-    return (per.crossJoin(_total(s.fact))
+    return (per.transform(with_totals, _total(s.fact))
             .select("search_term_count", "jobs", _pct(F.col("jobs"), F.col("_total")).alias("pct_of_all"))
             .orderBy("search_term_count"))
