@@ -410,7 +410,8 @@ def _clean_docs(spark, sf):
 DOCS_SKILLS_SQL = O.with_ctes(O.SKILLS.split("dim_skill AS")[0].rstrip().rstrip(","), f"""
 docs AS (SELECT doc_id, trim(regexp_replace(text, '{WS_SQL}+', ' ', 'g')) AS text_clean FROM documents),
 doc_skills AS (SELECT DISTINCT d.doc_id, sd.skill_name FROM docs d CROSS JOIN skill_defs sd
-               WHERE d.text_clean IS NOT NULL AND regexp_matches(d.text_clean, sd.pattern))""")
+               WHERE d.text_clean IS NOT NULL AND contains(lower(d.text_clean), sd.literal)
+                 AND regexp_matches(d.text_clean, sd.pattern))""")
 
 
 @register("match_skills_documents", "W27", DOCS_SKILLS_SQL + " SELECT doc_id, skill_name FROM doc_skills")
