@@ -11,11 +11,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import mart, quality, salary, skills, staging
+from ..functions.text import collapse_whitespace, contains_text
+from ..operators import mart, parity, quality, salary, skills, staging
+from ..operators.joins import with_totals
 from ..operators.upsert import upsert_raw
+from ..session import scratch_path
+from ..sources import landing
 from ..sources.standin import feed_rows
 from ..sources.tables import Tables
+from ..streaming.ingest import ingest_incremental
 from . import oracle_sql as O
+from . import reports as R
 from .pipeline import Star, star_for
 
 
@@ -356,13 +362,6 @@ def q_skill_limitation(spark, sf):
 
 # ---------------------------------------------------------------- events and documents (direct inputs)
 
-from ..functions.text import collapse_whitespace  # noqa: E402
-from ..operators.joins import with_totals  # noqa: E402
-from ..operators import parity, stats  # noqa: E402,F401
-from ..sources import landing  # noqa: E402
-from ..streaming.ingest import ingest_incremental  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from . import reports as R  # noqa: E402
 
 WS_SQL = O.WHITESPACE_CLASS
 
@@ -426,7 +425,6 @@ def q_match_skills_documents(spark, sf):
    (SELECT count(DISTINCT doc_id) FROM doc_skills) AS docs_with_skill
  FROM docs""")
 def q_document_profile(spark, sf):
-    from ..functions.text import contains_text
     docs = _clean_docs(spark, sf)
     c = F.col("text_clean")
     base = docs.agg(F.count(F.lit(1)).alias("total_docs"),
