@@ -27,7 +27,7 @@ def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int =
     order = [F.col(c).asc_nulls_first() for c in key_cols]
     if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
         # Size checked: a single ordered window over a bounded frame.
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
+        return df.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("long"))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -46,5 +46,5 @@ def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int =
         .alias("_off"))
     return (ranged.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")
-            .withColumn(id_col, F.coalesce(F.col("_off"), F.lit(0)) + local + F.lit(start))
+            .withColumn(id_col, (F.coalesce(F.col("_off"), F.lit(0)) + local + F.lit(start)).cast("long"))
             .drop("_mono", "_part", "_off"))

@@ -110,7 +110,7 @@ raw AS (
 
 STAGE0 = f"""
 search_agg AS (
-  SELECT job_id, to_json(list_sort(list_distinct(list(search_term)))) AS search_terms,
+  SELECT job_id, CAST(to_json(list_sort(list_distinct(list(search_term)))) AS VARCHAR) AS search_terms,
          CAST(count(DISTINCT search_term) AS INTEGER) AS search_term_count,
          min(fetched_at) AS first_fetched_at, max(fetched_at) AS last_fetched_at
   FROM raw GROUP BY job_id

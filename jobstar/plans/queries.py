@@ -383,7 +383,7 @@ def q_events_latest(spark, sf):
 
 
 @register("events_context", "W4", """
- SELECT user_id, to_json(list_sort(list_distinct(list(event_type)))) AS event_types,
+ SELECT user_id, CAST(to_json(list_sort(list_distinct(list(event_type)))) AS VARCHAR) AS event_types,
    CAST(count(DISTINCT event_type) AS INTEGER) AS event_type_count, min(ts) AS first_ts, max(ts) AS last_ts
  FROM events GROUP BY user_id""")
 def q_events_context(spark, sf):
