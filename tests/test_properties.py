@@ -48,3 +48,34 @@ def test_stream_replay_is_idempotent(spark):
     again = ingest_incremental(spark, f"{root}/*", scratch_path(spark, "raw-test2"),
                                scratch_path(spark, "ckpt-test2"))
     assert _rows(spark.read.parquet(again).drop("id")) == before
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key with a third of all rows: results stay exact (no capping or sampling)."""
+    from jobstar.operators import quality
+    from jobstar.operators.staging import dedup_latest
+    from jobstar.operators.upsert import upsert_raw
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("k%d", F.col("id"))).alias("job_id"),
+        F.lit("t").alias("search_term"),
+        F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 100)").alias("fetched_at"),
+        F.col("id").cast("string").alias("raw_data"),
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("posted_date"))
+    hot = n // 3
+    merged = upsert_raw(None, df.select("id", "job_id", "search_term", "fetched_at", "raw_data"))
+    assert merged.count() == n - hot + 1
+    winner = merged.where("job_id = 'HOT'").first()
+    # newest fetch among hot rows is at 99 s (ids = 99 mod 100, multiples of 3), highest id wins the tie
+    assert winner.raw_data == str(max(i for i in range(0, n, 3) if i % 100 == 99))
+    assert winner.id == 0  # first applied row keeps its id
+    assert dedup_latest(df).count() == n - hot + 1
+    keyed = df.select(F.col("job_id").alias("k1"), F.lit("c").alias("k2"), "posted_date")
+    got = quality.fuzzy_pair_count(keyed, ("k1", "k2"), "posted_date", 7).first()[0]
+    # brute force on the hot key's day histogram (other keys have one row each)
+    days = [sum(1 for i in range(0, n, 3) if i % 20 == d) for d in range(20)]
+    expected = sum(c * (c - 1) // 2 for c in days) + sum(
+        days[a] * days[b] for a in range(20) for b in range(a + 1, 20) if b - a <= 7)
+    assert got == expected
