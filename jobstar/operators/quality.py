@@ -196,3 +196,19 @@ def dq_report(stg: DataFrame, as_of=None) -> DataFrame:
         (F.col("total_rows") - F.col("distinct_job_ids")).alias("duplicate_pks"),
         F.when(F.col("total_rows") == F.col("distinct_job_ids"), "PASS").otherwise("FAIL").alias("pk_status"),
     )
+
+
+def observed_metrics(as_of=None) -> list[Column]:
+    """The single-pass checks of ``dq_report`` that ``DataFrame.observe`` can carry
+    (no distinct counts), to collect them as a side effect of writing staging."""
+    avg = F.col("salary_avg_final")
+    return [
+        F.count(_one()).alias("total_rows"),
+        *_null_cols(), *_location_cols(),
+        F.count_if(F.col("posted_date").isNull()).alias("failed_parse"),
+        F.count_if(F.col("posted_date") > _as_of(as_of)).alias("future_dates"),
+        F.min("posted_date").alias("earliest"), F.max("posted_date").alias("latest"),
+        *_salary_avail_cols(),
+        F.count(avg).alias("has_salary"),
+        F.count_if(F.col("salary_min_final") > F.col("salary_max_final")).alias("inverted_ranges"),
+    ]

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..operators import mart, salary, skills, staging
+from ..operators import mart, quality, salary, skills, staging
 from ..operators.upsert import upsert_raw
 from ..sources.standin import feed_rows
 from ..session import materialize
@@ -43,7 +43,16 @@ class Star:
     def stg(self) -> DataFrame:
         # Staging feeds every later layer; write it once as a table in the reliable
         # checkpoint folder so dimensions, fact, bridge and checks do not re-derive it.
-        return materialize(build_staging(self.raw), "stg_jobs")
+        # The quality metrics ride along with that write (no extra scan).
+        self._stg_observation = Observation("stg_quality")
+        observed = build_staging(self.raw).observe(self._stg_observation, *quality.observed_metrics())
+        return materialize(observed, "stg_jobs")
+
+    @property
+    def stg_metrics(self) -> dict:
+        """Quality metrics collected while staging was written (see ``quality.observed_metrics``)."""
+        self.stg  # noqa: B018 - make sure the write (and so the observation) happened
+        return self._stg_observation.get
 
     @cached_property
     def dim_company(self) -> DataFrame:

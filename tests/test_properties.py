@@ -79,3 +79,14 @@ def test_hot_key_third_of_rows(spark):
     expected = sum(c * (c - 1) // 2 for c in days) + sum(
         days[a] * days[b] for a in range(20) for b in range(a + 1, 20) if b - a <= 7)
     assert got == expected
+
+
+def test_observed_metrics_equal_report(spark):
+    from jobstar.operators import quality
+    s = Star(spark, SF_SMALL)
+    observed = s.stg_metrics
+    report = quality.dq_report(s.stg).first().asDict()
+    for k, v in observed.items():
+        if k in report and k not in ("future_dates",):
+            assert report[k] == v, k
+    assert observed["total_rows"] == s.stg.count()
