@@ -46,3 +46,19 @@ SKILL_PATTERNS = [
 SALARY_FLOOR = 30000          # average below this clears all salary fields
 DEFAULT_CURRENCY = "AUD"
 SALARY_PERIOD = "annual"
+
+# FIXED VALUES — check labels, as the reference prints them in its result grids.
+CHECK_PK = "1. PK uniqueness"
+CHECK_NULLS = "2. NULL completeness"
+CHECK_LOCATION = "3. Location completeness"
+CHECK_DATES = "4. Date validity"
+CHECK_FUZZY_LOOSE = "5a. Fuzzy dup (loose)"
+CHECK_FUZZY_TIGHT = "5b. Fuzzy dup (tightened)"
+CHECK_CATEGORY = "6. Category diversity"
+CHECK_SALARY_AVAILABILITY = "7. Salary availability"
+CHECK_SALARY_COVERAGE = "Salary coverage"
+CHECK_SALARY_SANITY = "Salary sanity"
+CHECK_FACT_INTEGRITY = "fact integrity"
+CHECK_BRIDGE_SUMMARY = "bridge summary"
+CHECK_SKILL_COVERAGE = "skill coverage"
+CHECK_SKILL_LIMITATION = "skill extraction limitation"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import date_key, iso_weekday
 from .joins import bounded_broadcast
 from .keys import surrogate_key
+from ..functions.vocab import CHECK_FACT_INTEGRITY
 
 LOCATION_LEVELS = ("country", "state", "region", "city", "suburb")
 
@@ -110,7 +111,7 @@ def mart_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def fact_integrity(fact: DataFrame) -> DataFrame:
     """Facts whose lookup found no dimension row, per key."""
     return fact.agg(
-        F.lit("fact integrity").alias("check_name"),
+        F.lit(CHECK_FACT_INTEGRITY).alias("check_name"),
         F.count(F.lit(1)).alias("total_facts"),
         *[F.count_if(F.col(c).isNull()).alias(f"missing_{c[:-3]}")
           for c in ("company_id", "location_id", "date_id", "category_id")])

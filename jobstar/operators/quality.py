@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import contains_text
 from .joins import with_totals
+from ..functions.vocab import (
+    CHECK_CATEGORY, CHECK_DATES, CHECK_FUZZY_LOOSE, CHECK_FUZZY_TIGHT, CHECK_LOCATION, CHECK_NULLS, CHECK_PK,
+    CHECK_SALARY_AVAILABILITY,
+)
 
 
 def _one() -> Column:
@@ -36,7 +40,7 @@ def dq_pk(stg: DataFrame, key: str = "job_id") -> DataFrame:
     s = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
                     F.count(_one()).alias("distinct_job_ids"))
     return s.select(
-        F.lit("1. PK uniqueness").alias("check_name"), "total_rows", "distinct_job_ids",
+        F.lit(CHECK_PK).alias("check_name"), "total_rows", "distinct_job_ids",
         (F.col("total_rows") - F.col("distinct_job_ids")).alias("duplicate_pks"),
         F.when(F.col("total_rows") == F.col("distinct_job_ids"), "PASS").otherwise("FAIL").alias("status"))
 
@@ -54,7 +58,7 @@ def _null_cols() -> list[Column]:
 
 def dq_nulls(stg: DataFrame) -> DataFrame:
     """NULL counts of the key fields."""
-    return stg.agg(F.lit("2. NULL completeness").alias("check_name"), F.count(_one()).alias("total"),
+    return stg.agg(F.lit(CHECK_NULLS).alias("check_name"), F.count(_one()).alias("total"),
                    *_null_cols())
 
 
@@ -67,7 +71,7 @@ def _location_cols() -> list[Column]:
 
 def dq_location(stg: DataFrame) -> DataFrame:
     """Non-null count per location level, percent without a state."""
-    return stg.agg(F.lit("3. Location completeness").alias("check_name"), F.count(_one()).alias("total"),
+    return stg.agg(F.lit(CHECK_LOCATION).alias("check_name"), F.count(_one()).alias("total"),
                    *_location_cols())
 
 
@@ -84,7 +88,7 @@ def _date_cols(as_of) -> list[Column]:
 
 def dq_dates(stg: DataFrame, as_of=None) -> DataFrame:
     """Failed parses, dates after ``as_of`` (default today), range, PASS/REVIEW."""
-    return stg.agg(F.lit("4. Date validity").alias("check_name"), F.count(_one()).alias("total"),
+    return stg.agg(F.lit(CHECK_DATES).alias("check_name"), F.count(_one()).alias("total"),
                    *_date_cols(as_of)).withColumnRenamed("date_status", "status")
 
 
@@ -123,7 +127,7 @@ def fuzzy_dup_tight(stg: DataFrame, days: int = 7) -> DataFrame:
     """Re-posting pairs (same title, company, state, suburb; within ``days``)."""
     total = stg.agg(F.count(_one()).alias("_total"))
     return fuzzy_pair_count(stg, TIGHT_KEYS, "posted_date", days).transform(with_totals, total).select(
-        F.lit("5b. Fuzzy dup (tightened)").alias("check_name"), "fuzzy_dup_pairs",
+        F.lit(CHECK_FUZZY_TIGHT).alias("check_name"), "fuzzy_dup_pairs",
         _pct(F.col("fuzzy_dup_pairs"), F.col("_total")).alias("pct_of_total"))
 
 
@@ -141,7 +145,7 @@ def fuzzy_dup_loose(stg: DataFrame, keys: tuple[str, ...] = LOOSE_KEYS) -> DataF
         F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0)).cast("long").alias("fuzzy_dup_pairs"))
     total = stg.agg(F.count(_one()).alias("_total"))
     return flagged.transform(with_totals, total).select(
-        F.lit("5a. Fuzzy dup (loose)").alias("check_name"), "rows_flagged", "fuzzy_dup_pairs",
+        F.lit(CHECK_FUZZY_LOOSE).alias("check_name"), "rows_flagged", "fuzzy_dup_pairs",
         _pct(F.col("rows_flagged"), F.col("_total")).alias("pct_rows_flagged"))
 
 
@@ -150,7 +154,7 @@ def dq_category(stg: DataFrame) -> DataFrame:
     per = stg.groupBy("category_tag").agg(F.count(_one()).alias("job_count"))
     total = stg.agg(F.count(_one()).alias("_total"))
     return (per.transform(with_totals, total).select(
-        F.lit("6. Category diversity").alias("check_name"), "category_tag", "job_count",
+        F.lit(CHECK_CATEGORY).alias("check_name"), "category_tag", "job_count",
         _pct(F.col("job_count"), F.col("_total")).alias("pct"))
         .orderBy(F.col("job_count").desc(), F.col("category_tag").asc_nulls_first()))
 
@@ -166,7 +170,7 @@ def _salary_avail_cols() -> list[Column]:
 
 def dq_salary_availability(stg: DataFrame) -> DataFrame:
     """API salary presence and descriptions that mention a dollar amount."""
-    return stg.agg(F.lit("7. Salary availability").alias("check_name"), F.count(_one()).alias("total"),
+    return stg.agg(F.lit(CHECK_SALARY_AVAILABILITY).alias("check_name"), F.count(_one()).alias("total"),
                    *_salary_avail_cols())
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.vocab import DEFAULT_CURRENCY, SALARY_FLOOR, SALARY_PERIOD
+from ..functions.vocab import DEFAULT_CURRENCY, SALARY_FLOOR, SALARY_PERIOD, CHECK_SALARY_COVERAGE, CHECK_SALARY_SANITY
 
 MONEY = "decimal(12,2)"
 
@@ -43,7 +43,7 @@ def salary_coverage(stg: DataFrame) -> DataFrame:
     avg = F.col("salary_avg_final")
     total = F.count(F.lit(1))
     return stg.agg(
-        F.lit("Salary coverage").alias("check_name"),
+        F.lit(CHECK_SALARY_COVERAGE).alias("check_name"),
         total.alias("total_jobs"),
         F.count(avg).alias("has_salary"),
         F.round(F.try_divide(100.0 * F.count(avg), total), 1).cast("double").alias("pct_with_salary"),
@@ -55,7 +55,7 @@ def salary_coverage(stg: DataFrame) -> DataFrame:
 def salary_sanity(stg: DataFrame) -> DataFrame:
     lo, hi, avg = F.col("salary_min_final"), F.col("salary_max_final"), F.col("salary_avg_final")
     return stg.agg(
-        F.lit("Salary sanity").alias("check_name"),
+        F.lit(CHECK_SALARY_SANITY).alias("check_name"),
         F.count_if(lo > hi).alias("inverted_ranges"),
         F.count_if(avg > 1000000).alias("over_1m"),
         F.count_if((avg < 20000) & avg.isNotNull()).alias("under_20k"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.patterns import word_regex
 from ..functions.text import contains_text
-from ..functions.vocab import SKILL_PATTERNS
+from ..functions.vocab import SKILL_PATTERNS, CHECK_BRIDGE_SUMMARY, CHECK_SKILL_COVERAGE, CHECK_SKILL_LIMITATION
 from .joins import bounded_broadcast, with_totals
 from .keys import surrogate_key
 
@@ -108,7 +108,7 @@ def bridge_summary(bridge: DataFrame) -> DataFrame:
     skills = (bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("n"))
               .agg(F.count(F.lit(1)).alias("skills_matched")))
     return jobs.transform(with_totals, skills).select(
-        F.lit("bridge summary").alias("check_name"), "total_links", "jobs_with_skills", "skills_matched",
+        F.lit(CHECK_BRIDGE_SUMMARY).alias("check_name"), "total_links", "jobs_with_skills", "skills_matched",
         F.round(F.try_divide(F.col("total_links").cast("decimal(20,0)"), F.col("jobs_with_skills")), 2)
          .cast("double").alias("avg_skills_per_job"))
 
@@ -121,7 +121,7 @@ def skill_coverage(fact: DataFrame, bridge: DataFrame) -> DataFrame:
     """Share of facts with at least one skill."""
     total = fact.agg(F.count(F.lit(1)).alias("total_jobs"))
     return total.transform(with_totals, _jobs_with_skill(bridge)).select(
-        F.lit("skill coverage").alias("check_name"), "total_jobs", "jobs_with_skill",
+        F.lit(CHECK_SKILL_COVERAGE).alias("check_name"), "total_jobs", "jobs_with_skill",
         F.round(F.try_divide(100.0 * F.col("jobs_with_skill"), F.col("total_jobs")), 1)
          .cast("double").alias("pct_coverage"))
 
@@ -150,7 +150,7 @@ def skill_limitation(stg: DataFrame, bridge: DataFrame) -> DataFrame:
         F.round(F.avg("description_length"), 0).cast("double").alias("avg_desc_length"),
         F.count_if(contains_text(clean, "…") | contains_text(clean, "...")).alias("truncated_descriptions"))
     return base.transform(with_totals, _jobs_with_skill(bridge)).select(
-        F.lit("skill extraction limitation").alias("check_name"), "total_jobs", "avg_desc_length",
+        F.lit(CHECK_SKILL_LIMITATION).alias("check_name"), "total_jobs", "avg_desc_length",
         "truncated_descriptions", "jobs_with_skill",
         F.round(F.try_divide(100.0 * F.col("jobs_with_skill"), F.col("total_jobs")), 1)
          .cast("double").alias("pct_coverage"))
