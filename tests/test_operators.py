@@ -184,3 +184,14 @@ def test_conform_adds_defaults_and_casts(spark):
     old = spark.createDataFrame([(1, "j", "12.5")], "id long, job_id string, salary_min string")
     out = conform(old, RAW_SCHEMA, {"salary_is_predicted": 0}).first()
     assert out.salary_min == Decimal("12.50") and out.salary_is_predicted == 0 and out.latitude is None
+
+
+def test_exact_quantile_distributed_equals_percentile(spark, monkeypatch):
+    from jobstar.operators import keys
+    from jobstar.operators.stats import exact_quantile
+    df = spark.range(0, 4001).select("id", ((F.col("id") * 7919) % 1000 / 7.0).alias("v"))
+    monkeypatch.setattr(keys, "SMALL_ROWS", 10)      # force range partitioning + offsets
+    for q in (0.5, 0.25, 0.9):
+        got = exact_quantile(df, "v", q, ["id"]).first()
+        want = df.agg(F.percentile("v", q)).first()[0]
+        assert got.n == 4001 and abs(got.value - want) < 1e-9
