@@ -25,6 +25,9 @@ SMALL_ROWS = 50_000
 def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int = 1,
                   num_partitions: int | None = None) -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in key_cols]
+    # The input (typically an aggregate over staging) is computed once and written;
+    # the size check and the numbering both read that table.
+    df = materialize(df, "surrogate-key-input")
     if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
         # Size checked: a single ordered window over a bounded frame.
         return df.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("long"))
