@@ -9,13 +9,49 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
 from .content_sort import content_sort_groups
+from .fm_index import find_contamination
 from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
 from .pareto_mix import pareto_copies
+from .pu_toxicity import fit_model, held_out, score_toxicity
 
 _FOLDED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP2_SQL = f"""
+WITH doc AS (
+    SELECT doc_id, {_WORDS.format(_FOLDED.format("text"))} AS w FROM documents),
+item AS (
+    SELECT item_id, {_WORDS.format(_FOLDED.format("text"))} AS w FROM benchmark WHERE item_id IS NOT NULL),
+phrase AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p
+    FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)),
+width AS (SELECT DISTINCT n FROM phrase),
+place AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p
+    FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+          FROM doc CROSS JOIN width WHERE len(w) >= n)),
+found AS (SELECT doc_id, item_id, n, i FROM place JOIN phrase USING (n, p)),
+hit AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM found) GROUP BY doc_id),
+names AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)"""
+
+
 def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return histogram_sort_shards(docs, shards=40, columns=["doc_id"])
@@ -60,14 +96,24 @@ def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_copies(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_model(docs, read_table(spark, sf_dir, "labels"))
+    return (score_toxicity(docs, model)
+            .select("doc_id", held_out().alias("held_out"), "score", "predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fm_index": op2_fm_index,
     "op5_histogram_sort": op5_histogram_sort,
     "op6_line_runs": op6_line_runs,
     "op8_content_sort": op8_content_sort,
     "op9_pareto_mix": op9_pareto_mix,
+    "op10_pu_toxicity": op10_pu_toxicity,
 }
 
 SQL: dict[str, str] = {
+    "op2_fm_index": OP2_SQL,
     "op6_line_runs": OP6_SQL,
     "op8_content_sort": OP8_SQL,
 }
