@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import read_table
 from .content_sort import content_sort_groups
 from .fm_index import find_contamination
+from .guess_cost import scan_secrets
 from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
 from .pareto_mix import pareto_copies
 from .pu_toxicity import fit_model, held_out, score_toxicity
+from .warc_normal import warc_round_trip
 
 _FOLDED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -52,6 +54,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)"""
 
 
+def op3_warc_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_round_trip(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+SELECT page_id, CAST(strlen(p) AS BIGINT) AS payload_bytes, sha1(p) AS payload_digest,
+       CASE WHEN strlen(p) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(p) >= 1000 AND page_id < last THEN last END AS refers_to
+FROM (SELECT page_id, p, max(page_id) OVER (PARTITION BY p) AS last
+      FROM (SELECT page_id, coalesce(html, '') AS p FROM pages))"""
+
+
 def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return histogram_sort_shards(docs, shards=40, columns=["doc_id"])
@@ -80,6 +95,12 @@ SELECT doc_id, count(*) AS n_lines,
 FROM lines LEFT JOIN owners USING (k) GROUP BY doc_id"""
 
 
+def op7_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -105,8 +126,10 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fm_index": op2_fm_index,
+    "op3_warc_normal": op3_warc_normal,
     "op5_histogram_sort": op5_histogram_sort,
     "op6_line_runs": op6_line_runs,
+    "op7_guess_cost": op7_guess_cost,
     "op8_content_sort": op8_content_sort,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_pu_toxicity": op10_pu_toxicity,
@@ -114,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_fm_index": OP2_SQL,
+    "op3_warc_normal": OP3_SQL,
     "op6_line_runs": OP6_SQL,
     "op8_content_sort": OP8_SQL,
 }
