@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -30,3 +32,29 @@ def tmp_name(*taken: DataFrame) -> str:
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
+
+
+def numbered(df: DataFrame, group: str, order: list[str], name: str, few_groups: bool = False) -> DataFrame:
+    """``df`` with ``name``: 0, 1, ... inside each ``group`` by ``order``, however large a group is.
+
+    One range exchange by group and order, written once with row numbers inside partitions;
+    a group's rows in a partition are consecutive, so adding the counts of its earlier
+    partitions numbers it through. ``few_groups`` says that groups are bounded in number, so
+    that the counts (a row per group and partition) may be broadcast. Null groups are one group.
+    """
+    p = tmp_name(df)
+    ranged = (df.repartitionByRange(shuffle_partitions(df), group, *order)
+              .sortWithinPartitions(group, *order)
+              .withColumn(p + "at", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, f"numbered-{name}").withColumn(p + "part", F.shiftright(F.col(p + "at"), _LOCAL_BITS))
+    runs = ranged.groupBy(F.col(group).alias(p + "g"), F.col(p + "part").alias(p + "q")).agg(
+        F.min(p + "at").alias(p + "first"), F.count(F.lit(1)).alias(p + "n"))
+    before = F.sum(p + "n").over(Window.partitionBy(p + "g").orderBy(p + "q")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(p + "g", p + "q", (F.coalesce(before, F.lit(0)) - F.col(p + "first")).alias(p + "shift"))
+    same = F.col(group).eqNullSafe(F.col(p + "g")) & (F.col(p + "part") == F.col(p + "q"))
+    return (ranged.join(F.broadcast(runs) if few_groups else runs, same)
+            .select(*df.columns, (F.col(p + "at") + F.col(p + "shift")).cast("long").alias(name)))

@@ -15,10 +15,10 @@ tolerance; then the second hash is refined in the same way. Rows equal in both h
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import shuffle_partitions, tmp_name
+from .common import numbered, tmp_name
 
 BITS = 10
 TOLERANCE = 0.01  # of a shard's mean bytes
@@ -26,8 +26,6 @@ KEY_BITS = 62
 ROW_BYTES = 16  # counted for each row besides its text
 LAW = "bytes"
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
-
 
 def sort_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     """Two non-negative 62-bit hashes: of the text and of the identifier."""
@@ -120,24 +118,8 @@ def histogram_sort_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_
                         F.crc32(text.cast("binary")).alias("text_crc32"))
     thin = materialize(docs.select(k1.alias("k1"), k2.alias("k2"), size.alias("size")), "shard-keys")
     splits = splitters(thin, shards, tolerance)
-    parts = shuffle_partitions(docs)
-    # The one exchange of the rows. Range bounds inside a shard only spread the work.
-    ranged = (keyed.withColumn("shard", shard_of(F.col(p + "k1"), F.col(p + "k2"), splits))
-              .repartitionByRange(parts, "shard", p + "k1", p + "k2")
-              .sortWithinPartitions("shard", p + "k1", p + "k2")
-              .withColumn(p + "at", F.monotonically_increasing_id())
-              .drop(p + "k1", p + "k2"))
-    ranged = materialize(ranged, "shard-rows")
-    part = F.shiftright(F.col(p + "at"), _LOCAL_BITS)
-    # A partition's rows of one shard are consecutive; what lies in earlier partitions goes before.
-    runs = ranged.groupBy("shard", part.alias(p + "part")).agg(
-        F.min(p + "at").alias(p + "first"), F.count(F.lit(1)).alias(p + "n"))
-    before = F.sum(p + "n").over(Window.partitionBy("shard").orderBy(p + "part")
-                                 .rowsBetween(Window.unboundedPreceding, -1))
-    # At most shards + parts rows.
-    runs = runs.select("shard", p + "part", p + "first", F.coalesce(before, F.lit(0)).alias(p + "before"))
-    return (ranged.withColumn(p + "part", part)
-            .join(F.broadcast(runs), ["shard", p + "part"])
-            .select(*columns, "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
-                    (F.col(p + "at") - F.col(p + "first") + F.col(p + "before")).cast("long").alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+    # The one exchange of the rows; range bounds inside a shard only spread the work.
+    sharded = keyed.withColumn("shard", shard_of(F.col(p + "k1"), F.col(p + "k2"), splits))
+    placed = numbered(sharded, "shard", [p + "k1", p + "k2"], "slot", few_groups=True)
+    return placed.select(*columns, "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))

@@ -15,6 +15,7 @@ from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
 from .pareto_mix import pareto_copies
 from .pu_toxicity import fit_model, held_out, score_toxicity
+from .tool_links import CHAT_SCHEMAS, chat_calls, link_tool_calls
 from .warc_normal import warc_round_trip
 
 _FOLDED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -67,6 +68,13 @@ FROM (SELECT page_id, p, max(page_id) OVER (PARTITION BY p) AS last
       FROM (SELECT page_id, coalesce(html, '') AS p FROM pages))"""
 
 
+def op4_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_calls(read_table(spark, sf_dir, "conversations"))
+    linked = link_tool_calls(calls, results, CHAT_SCHEMAS)
+    return linked.withColumnsRenamed({"conv": "conv_id", "id": "call_id"}).withColumn(
+        "errors", F.array_join("errors", "; "))
+
+
 def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return histogram_sort_shards(docs, shards=40, columns=["doc_id"])
@@ -127,6 +135,7 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fm_index": op2_fm_index,
     "op3_warc_normal": op3_warc_normal,
+    "op4_tool_links": op4_tool_links,
     "op5_histogram_sort": op5_histogram_sort,
     "op6_line_runs": op6_line_runs,
     "op7_guess_cost": op7_guess_cost,
