@@ -13,6 +13,7 @@ from .fm_index import find_contamination
 from .guess_cost import scan_secrets
 from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
+from .ngram_join import ngram_components
 from .pareto_mix import pareto_copies
 from .pu_toxicity import fit_model, held_out, score_toxicity
 from .tool_links import CHAT_SCHEMAS, chat_calls, link_tool_calls
@@ -21,6 +22,10 @@ from .warc_normal import warc_round_trip
 _FOLDED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
@@ -133,6 +138,7 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_fm_index": op2_fm_index,
     "op3_warc_normal": op3_warc_normal,
     "op4_tool_links": op4_tool_links,
