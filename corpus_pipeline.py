@@ -8,14 +8,51 @@ the running stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from jobstar.llm.common import tmp_name
+from jobstar.llm.fm_index import find_contamination
 from jobstar.llm.histogram_sort import histogram_sort_shards
+from jobstar.llm.ngram_join import ngram_components
 from jobstar.llm.pareto_mix import mix
+from jobstar.llm.pu_toxicity import fit_model, score_toxicity
 from jobstar.session import ensure_checkpoint_dir, materialize
 from jobstar.sources.tables import read_table
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model predicts to be toxic go."""
+    ensure_checkpoint_dir(spark)
+    model = fit_model(docs, read_table(spark, sf_dir, "labels"))
+    p = tmp_name(docs)
+    own = docs.withColumnsRenamed({c: p + c for c in docs.columns if c in ("score", "predicted")})
+    kept = score_toxicity(own, model).where("predicted = 0")
+    return kept.select(*[F.col(p + c if p + c in own.columns else c).alias(c) for c in docs.columns])
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least identifier stays.
+
+    Documents without identifier that are alone in their group stay; rows that repeat the
+    staying document's identifier stay as they are.
+    """
+    ensure_checkpoint_dir(spark)
+    p = tmp_name(docs)
+    gone = (ngram_components(docs.select("doc_id", "text")).where("doc_id <> component_id")
+            .select(F.col("doc_id").alias(p)).distinct())
+    return docs.join(gone, docs["doc_id"] == gone[p], "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    ensure_checkpoint_dir(spark)
+    p = tmp_name(docs)
+    added = ("n_words", "n_hit", "n_items", "hit_items", "hit_spans")
+    own = docs.withColumnsRenamed({c: p + c for c in docs.columns if c in added})
+    kept = find_contamination(own, read_table(spark, sf_dir, "benchmark")).where("n_hit = 0")
+    return kept.select(*[F.col(p + c if p + c in own.columns else c).alias(c) for c in docs.columns])
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source near its target of words; a document is repeated as often as it is taken."""
     ensure_checkpoint_dir(spark)
@@ -28,7 +65,8 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return histogram_sort_shards(docs, shards=40)
 
 
-STAGES = [("mixing", mixing), ("sharding", sharding)]
+STAGES = [("toxicity", toxicity), ("ngram_jaccard", jaccard), ("decontamination", decontamination),
+          ("mixing", mixing), ("sharding", sharding)]
 
 # The toxicity stage is a trained model, which SQL can't express.
 ORACLE_SQL = None
