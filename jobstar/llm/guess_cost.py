@@ -104,7 +104,7 @@ def guess_bits(value: str) -> float:
         reach(i + 1, now + _char_bits(value[i]))
         now += _PIECE_BITS
         for size in _WORD_SIZES:
-            w = _WORD_BITS.get(plain[i:i + size])
+            w = _WORD_BITS.get(plain[i:i + size]) if i + size <= n else None
             if w is not None:
                 piece = value[i:i + size]
                 changed = (piece != lower[i:i + size]) + (lower[i:i + size] != plain[i:i + size])
