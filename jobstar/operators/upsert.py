@@ -18,9 +18,9 @@ def upsert_raw(existing: DataFrame | None, batch: DataFrame,
                key: tuple[str, ...] = RAW_KEY) -> DataFrame:
     """Merge ``batch`` into ``existing`` (either may repeat keys).
 
-    ``batch_order`` names the columns that give application order inside the
-    input: by default fetch time, then id, so a replay of the same files gives
-    the same table. Existing rows are applied before any batch row.
+    ``batch_order`` names the columns that give arrival order inside the batch (by default
+    the stand-in feed's: fetch time, then id), so a replay gives the same table. Existing
+    rows are applied before any batch row, whatever their fetch times.
     One shuffle on the key; both picks are partial aggregates, so a hot key is
     combined map-side before the exchange.
     """
@@ -42,22 +42,3 @@ def upsert_raw(existing: DataFrame | None, batch: DataFrame,
         F.max_by(F.struct(*[F.col(c) for c in value_cols]), order).alias("_v"))
     return merged.select(*[F.col(c) if c in key or c == "id" else F.col(f"_v.{c}").alias(c) for c in cols])
 
-
-def assign_missing_ids(merged: DataFrame, after: int | None) -> DataFrame:
-    """Give rows without an ``id`` new ids after ``after``, in fetch order (auto-increment).
-
-    Numbering uses the distributed surrogate-key operator, never a global window.
-    """
-    from .keys import surrogate_key
-
-    missing = merged.where(F.col("id").isNull())
-    keep = merged.where(F.col("id").isNotNull())
-    start = (after or 0) + 1
-    numbered = surrogate_key(missing.drop("id"), ["fetched_at", "job_id", "search_term"], "id", start=start)
-    return keep.unionByName(numbered.select(*merged.columns))
-
-
-def max_id(df: DataFrame | None) -> int | None:
-    if df is None:
-        return None
-    return df.agg(F.max("id")).first()[0]

@@ -39,7 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests, the bench) is a fresh scratch folder made.
+    Only when it is unset and the master is ``local`` (tests, the bench) is a fresh scratch
+    folder made; on a cluster, where executors can't see it, this raises instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share: "
+                             f"a folder of this machine can't serve master {sc.master}")
         configured = tempfile.mkdtemp(prefix="jobstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
