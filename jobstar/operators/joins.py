@@ -4,21 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Upper bound on rows for an explicit broadcast hint. Dimensions above it are
-# left to the planner (sort-merge, or AQE's runtime broadcast when it turns out small).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
-    side is unexpectedly large; beyond the bound the frame is returned unchanged.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
     """Attach the columns of a one-row global aggregate to every row of ``df``.
 
@@ -27,3 +12,16 @@ def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
     of ``df`` is ever paired with more than that one row.
     """
     return df.crossJoin(F.broadcast(totals))
+
+
+def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, spread: str) -> DataFrame:
+    """``df`` with ``value`` of the row of ``dim`` whose ``dim_key`` equals ``key``, else NULL.
+
+    Rows with a NULL key match nothing; they are dealt out by ``spread`` (a text column)
+    instead of meeting in one reducer. Whether ``dim`` is broadcast is left to the planner.
+    """
+    dealt = F.coalesce(F.col(key), F.concat(F.lit("\x00"), F.col(spread)))
+    side = dim.select(F.col(dim_key).alias("_dim_key"), F.col(value))
+    return (df.withColumn("_deal", dealt)
+            .join(side, (F.col("_deal") == F.col("_dim_key")) & F.col(key).isNotNull(), "left")
+            .drop("_deal", "_dim_key"))

@@ -3,8 +3,8 @@
 ``row_number() over (order by key)`` would pull every row into one task. Instead:
 range-partition on the key and sort inside partitions (one shuffle), number rows
 inside each partition, count rows per partition (one row per partition), and add
-each partition's offset. The numbered frame is written to the reliable
-checkpoint folder first, so both passes see the same cut even if range bounds
+each partition's offset. The numbered frame is written once to the reliable
+checkpoint folder, so both passes see the same cut even if range bounds
 would be re-sampled or an executor is lost. The result equals
 ``row_number() over (order by key)`` for a unique key.
 """
@@ -13,27 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
 
-# Frames with at most this many rows are numbered by one window in one task.
-SMALL_ROWS = 50_000
-
-
 def surrogate_key(df: DataFrame, key_cols: list[str], id_col: str, start: int = 1,
                   num_partitions: int | None = None) -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in key_cols]
-    # The input (typically an aggregate over staging) is computed once and written;
-    # the size check and the numbering both read that table.
-    df = materialize(df, "surrogate-key-input")
-    if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        # Size checked: a single ordered window over a bounded frame.
-        return df.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("long"))
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_mono", F.monotonically_increasing_id()))

@@ -17,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import parse_iso_z
-from ..functions.json import money
-from ..operators.joins import bounded_broadcast
 from .tables import Tables
 
 # Phrases placed in descriptions, indexed by part and supplier keys: real skill
@@ -33,7 +31,7 @@ PHRASES = [
     "teamwork",
 ]
 
-N_COMPANIES = 40      # company / place groups, so re-postings recur
+CUSTOMERS_PER_COMPANY = 25  # a company (and its place) per so many customers, so re-postings recur
 LOCATION_LEVELS = 6
 
 
@@ -61,8 +59,8 @@ def feed_rows(t: Tables) -> DataFrame:
     oc = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
     rows = (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"), "left")
               .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-              .withColumn("_c", F.col("o_custkey") % N_COMPANIES)
-              .join(bounded_broadcast(geo, 10_000), (F.col("_c") % 25) == F.col("n_nationkey"), "left"))
+              .withColumn("_c", F.expr(f"o_custkey div {CUSTOMERS_PER_COMPANY}"))
+              .join(geo, (F.col("_c") % 25) == F.col("n_nationkey"), "left"))
 
     c = F.col("_c")
     k = F.col("l_orderkey") + F.col("l_linenumber")
@@ -158,24 +156,3 @@ def feed_rows(t: Tables) -> DataFrame:
         F.to_json(p).alias("raw_data"),
         "search_term", "fetched_at")
 
-
-def with_flat_columns(landed: DataFrame) -> DataFrame:
-    """Add the loader's pre-extracted columns next to the payload (raw table layout)."""
-    from ..functions.json import parse_payload
-
-    p = parse_payload(F.col("raw_data"))
-    return landed.withColumn("_p", p).select(
-        "id", "job_id",
-        F.col("_p.title").alias("title"),
-        F.col("_p.company.display_name").alias("company_name"),
-        F.col("_p.location.display_name").alias("location_display"),
-        F.col("_p.category.tag").alias("category_tag"),
-        F.col("_p.contract_type").alias("contract_type"),
-        F.col("_p.contract_time").alias("contract_time"),
-        money(F.col("_p.salary_min")).alias("salary_min"),
-        money(F.col("_p.salary_max")).alias("salary_max"),
-        F.col("_p.salary_is_predicted").try_cast("int").alias("salary_is_predicted"),
-        F.col("_p.latitude").try_cast("decimal(10,6)").alias("latitude"),
-        F.col("_p.longitude").try_cast("decimal(10,6)").alias("longitude"),
-        parse_iso_z(F.col("_p.created")).alias("created_at"),
-        "raw_data", "search_term", "fetched_at")
