@@ -62,3 +62,4 @@ CHECK_FACT_INTEGRITY = "fact integrity"
 CHECK_BRIDGE_SUMMARY = "bridge summary"
 CHECK_SKILL_COVERAGE = "skill coverage"
 CHECK_SKILL_LIMITATION = "skill extraction limitation"
+LIMITATION_NOTE = "API truncation at 500 chars limits coverage"

@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import date_key, iso_weekday
-from .joins import bounded_broadcast
+from .joins import lookup
 from .keys import surrogate_key
 from ..functions.vocab import CHECK_FACT_INTEGRITY
 
 LOCATION_LEVELS = ("country", "state", "region", "city", "suburb")
 
-# Dimensions at most this many rows are broadcast to the fact build; larger ones
-# go through a sort-merge join (or AQE's runtime broadcast if they turn out small).
-DIM_BROADCAST_ROWS = 2_000_000
 
+def folded_levels() -> list[F.Column]:
+    """The five levels with NULL as empty text: together the key of a place."""
+    return [F.coalesce(F.col(c), F.lit("")) for c in LOCATION_LEVELS]
 
-def location_key(prefix: str = "") -> F.Column:
-    """Levels joined by '|' with NULL as empty text."""
-    return F.concat_ws("|", *[F.coalesce(F.col(prefix + c), F.lit("")) for c in LOCATION_LEVELS])
+
+def location_key() -> F.Column:
+    """The levels joined by '|', for display; places whose names hold a bar may share it."""
+    return F.concat_ws("|", *folded_levels())
 
 
 def dim_company(stg: DataFrame) -> DataFrame:
@@ -30,17 +31,18 @@ def dim_company(stg: DataFrame) -> DataFrame:
 
 
 def dim_location(stg: DataFrame) -> DataFrame:
-    """One row per location key.
+    """One row per place, that is per five levels with NULL and empty text alike.
 
-    Grouping on the key itself (not on the five nullable levels) means NULL and
-    empty text, which share a key, give one row — so the fact lookup cannot fan out.
-    Coordinates are maxima taken independently, as in the reference.
+    The fact lookup uses the same five levels, so it cannot fan out. ``location_id`` counts
+    in the order of the levels; coordinates are maxima taken independently.
     """
-    d = (stg.withColumn("location_key", location_key())
-            .groupBy("location_key")
+    keys = [f"_{c}" for c in LOCATION_LEVELS]
+    d = (stg.select("*", *[f.alias(k) for f, k in zip(folded_levels(), keys)])
+            .groupBy(*keys)
             .agg(*[F.max(c).alias(c) for c in LOCATION_LEVELS],
-                 F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude")))
-    return surrogate_key(d, ["location_key"], "location_id").select(
+                 F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"))
+            .withColumn("location_key", location_key()))
+    return surrogate_key(d, keys, "location_id").select(
         "location_id", *LOCATION_LEVELS, "latitude", "longitude", "location_key")
 
 
@@ -77,13 +79,12 @@ def load_fact(stg: DataFrame, company: DataFrame, location: DataFrame,
     non-null posted date by construction, so no join is needed for it.
     The numbering of facts by ``job_id`` is the last step (W9).
     """
-    s = stg.withColumn("_lk", location_key())
-    fact = (s.join(bounded_broadcast(company.select("company_normalized", "company_id"), DIM_BROADCAST_ROWS),
-                   "company_normalized", "left")
-              .join(bounded_broadcast(location.select(F.col("location_key").alias("_lk"), "location_id"),
-                                      DIM_BROADCAST_ROWS), "_lk", "left")
-              .join(bounded_broadcast(category.select("category_tag", "category_id"), DIM_BROADCAST_ROWS),
-                    "category_tag", "left")
+    # The place's whole key as one value, so that no two places share it.
+    s = stg.withColumn("_place", F.to_json(F.array(*folded_levels())))
+    places = location.withColumn("_place", F.to_json(F.array(*folded_levels())))
+    fact = (s.transform(lookup, company, "company_normalized", "company_normalized", "company_id", "job_id")
+              .transform(lookup, places, "_place", "_place", "location_id", "job_id")
+              .transform(lookup, category, "category_tag", "category_tag", "category_id", "job_id")
               .select(
                   "job_id", "title", "company_id", "location_id",
                   date_key(F.col("posted_date")).alias("date_id"), "category_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import contains_text
 from .joins import with_totals
@@ -96,55 +96,70 @@ TIGHT_KEYS = ("title_normalized", "company_normalized", "state", "suburb")
 LOOSE_KEYS = ("title_normalized", "company_normalized", "state")
 
 
+def _pairs(n: Column) -> Column:
+    """n * (n - 1) / 2 in whole decimals: exact, and no 64-bit overflow."""
+    n = n.cast("decimal(19,0)")
+    # One of the factors is even, so halving it leaves a whole number.
+    even = F.when(n % 2 == 0, n).otherwise(n - 1)
+    odd = F.when(n % 2 == 0, n - 1).otherwise(n)
+    return (even / 2).cast("decimal(19,0)") * odd
+
+
 def fuzzy_pair_count(df: DataFrame, keys: tuple[str, ...] = TIGHT_KEYS, date_col: str = "posted_date",
                      days: int = 7) -> DataFrame:
-    """Number of unordered pairs of rows equal on ``keys`` (plain ``=``, so NULLs never
-    pair) whose dates are at most ``days`` apart. Rows are assumed to have unique ids.
-
-    No pair is ever formed. Rows are first counted per (key, day) — the only
-    shuffle that sees every row, with map-side partial counts, so one hot key
-    costs no more than one row per day. Then each (key, day) count meets the
-    counts of the next ``days`` days through an equi-join on (key, day + i):
+    """``fuzzy_dup_pairs``: unordered pairs of rows equal on ``keys`` (plain ``=``, so NULLs
+    never pair) whose dates are at most ``days`` apart; ``rows_involved``: distinct rows in
+    such a pair. Rows are assumed to have unique ids.
 
-        pairs = sum C(n_d, 2) + sum_{0 < d' - d <= days} n_d * n_d'
+    No pair is ever formed. Rows are first counted per (key, day), the only shuffle that
+    sees every row, with map-side partial counts, so one hot key costs no more than one row
+    per day. A window over a key's days then adds up the neighbouring counts:
 
-    The join input is bounded by distinct (key, day) groups times ``days``.
+        pairs = sum C(n_d, 2) + sum_d n_d * (n_{d+1} + ... + n_{d+days})
     """
     valid = F.lit(True)
     for k in (*keys, date_col):
         valid = valid & F.col(k).isNotNull()
     day = F.unix_date(F.col(date_col).cast("date"))
-    counts = (df.where(valid).groupBy(*keys, day.alias("_day")).agg(F.count(_one()).alias("_n")))
-    same_day = counts.select((F.col("_n") * (F.col("_n") - 1) / 2).cast("long").alias("_v"))
-    shifted = counts.select(*keys, F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + days)).alias("_day"),
-                            F.col("_n").alias("_n0"))
-    other_day = shifted.join(counts, [*keys, "_day"]).select((F.col("_n0") * F.col("_n")).alias("_v"))
-    return (same_day.unionByName(other_day)
-            .agg(F.coalesce(F.sum("_v"), F.lit(0)).cast("long").alias("fuzzy_dup_pairs")))
+    counts = df.where(valid).groupBy(*keys, day.alias("_day")).agg(F.count(_one()).alias("_n"))
+    by_day = Window.partitionBy(*keys).orderBy("_day")
+    later = F.coalesce(F.sum("_n").over(by_day.rangeBetween(1, days)), F.lit(0)).cast("decimal(19,0)")
+    around = F.sum("_n").over(by_day.rangeBetween(-days, days))
+    per_day = counts.select("_n", (_pairs(F.col("_n")) + F.col("_n").cast("decimal(19,0)") * later).alias("_v"),
+                            around.alias("_around"))
+    return per_day.agg(
+        F.coalesce(F.sum("_v"), F.lit(0)).cast("long").alias("fuzzy_dup_pairs"),
+        F.coalesce(F.sum(F.when(F.col("_around") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("rows_involved"))
 
 
 def fuzzy_dup_tight(stg: DataFrame, days: int = 7) -> DataFrame:
-    """Re-posting pairs (same title, company, state, suburb; within ``days``)."""
+    """Re-posting pairs (same title, company, state, suburb; within ``days``), their
+    percent of all rows, and the distinct rows in them (the percent may exceed 100)."""
     total = stg.agg(F.count(_one()).alias("_total"))
     return fuzzy_pair_count(stg, TIGHT_KEYS, "posted_date", days).transform(with_totals, total).select(
         F.lit(CHECK_FUZZY_TIGHT).alias("check_name"), "fuzzy_dup_pairs",
-        _pct(F.col("fuzzy_dup_pairs"), F.col("_total")).alias("pct_of_total"))
+        _pct(F.col("fuzzy_dup_pairs"), F.col("_total")).alias("pct_of_total"), "rows_involved")
 
 
-def fuzzy_dup_loose(stg: DataFrame, keys: tuple[str, ...] = LOOSE_KEYS) -> DataFrame:
-    """Same title, company, state — rows that have a twin, and the pair count.
-
-    Both numbers come from group sizes alone; no join.
-    """
+def group_pair_count(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``rows_flagged`` (rows that have a twin on ``keys``) and ``fuzzy_dup_pairs``, from group sizes alone."""
     valid = F.lit(True)
     for k in keys:
         valid = valid & F.col(k).isNotNull()
-    groups = stg.where(valid).groupBy(*keys).agg(F.count(_one()).alias("_n"))
-    flagged = groups.agg(
+    return pairs_of_sizes(df.where(valid).groupBy(*keys).agg(F.count(_one()).alias("_n")))
+
+
+def pairs_of_sizes(groups: DataFrame) -> DataFrame:
+    """``rows_flagged, fuzzy_dup_pairs`` of groups with ``_n`` rows each."""
+    return groups.agg(
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("rows_flagged"),
-        F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0)).cast("long").alias("fuzzy_dup_pairs"))
+        F.coalesce(F.sum(_pairs(F.col("_n"))), F.lit(0)).cast("long").alias("fuzzy_dup_pairs"))
+
+
+def fuzzy_dup_loose(stg: DataFrame, keys: tuple[str, ...] = LOOSE_KEYS) -> DataFrame:
+    """Same title, company, state: rows that have a twin, and the pair count."""
     total = stg.agg(F.count(_one()).alias("_total"))
-    return flagged.transform(with_totals, total).select(
+    return group_pair_count(stg, keys).transform(with_totals, total).select(
         F.lit(CHECK_FUZZY_LOOSE).alias("check_name"), "rows_flagged", "fuzzy_dup_pairs",
         _pct(F.col("rows_flagged"), F.col("_total")).alias("pct_rows_flagged"))
 

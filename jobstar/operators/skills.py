@@ -1,32 +1,26 @@
 """Skill vocabulary, whole-word matching into a bridge, and its checks.
 
 The reference tests every (job, pattern) pair with a regex held in a column,
-which Spark can only run as a nested-loop join. The vocabulary is a fixed, small
-list, so here each skill becomes one constant regex inside a single projection:
-one narrow pass over the texts, no join, no shuffle. A cheap case-folded
-``contains`` guards each regex, so the regex runs only on candidate rows.
+which Spark can only run as a nested-loop join. For a short constant list each skill
+here becomes one regex inside a single projection (``match_skills``): one narrow pass
+over the texts, no join, no shuffle, each regex guarded by a case-folded ``contains``.
+A vocabulary table of any size meets the texts in an equi-join on words instead
+(``match_vocabulary``).
 """
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from ..functions.patterns import word_regex
 from ..functions.text import contains_text
-from ..functions.vocab import SKILL_PATTERNS, CHECK_BRIDGE_SUMMARY, CHECK_SKILL_COVERAGE, CHECK_SKILL_LIMITATION
-from .joins import bounded_broadcast, with_totals
+from ..functions.vocab import SKILL_PATTERNS, CHECK_BRIDGE_SUMMARY, CHECK_SKILL_COVERAGE, CHECK_SKILL_LIMITATION, LIMITATION_NOTE
+from .joins import with_totals
 from .keys import surrogate_key
 
-VOCAB_SCHEMA = T.StructType([
-    T.StructField("skill_name", T.StringType(), False),
-    T.StructField("skill_category", T.StringType(), False),
-    T.StructField("pattern", T.StringType(), False),
-])
-
-
 def skill_rules(patterns=SKILL_PATTERNS) -> "OrderedDict[str, tuple[str, list[str]]]":
     """skill name -> (category = min over its rows, literals), ordered by name."""
     rules: dict[str, tuple[str, list[str]]] = {}
@@ -36,17 +30,21 @@ def skill_rules(patterns=SKILL_PATTERNS) -> "OrderedDict[str, tuple[str, list[st
     return OrderedDict(sorted(rules.items()))
 
 
-def vocabulary(spark: SparkSession, patterns=SKILL_PATTERNS) -> DataFrame:
-    """The pattern dictionary as a DataFrame (one row per literal)."""
-    return spark.createDataFrame(list(patterns), VOCAB_SCHEMA)
-
-
 def dim_skill(spark: SparkSession, patterns=SKILL_PATTERNS) -> DataFrame:
     """One row per skill name, ``min(category)``, the whole-word regex, dense id by name."""
-    rows = [(n, c, word_regex(lits)) for n, (c, lits) in skill_rules(patterns).items()]
-    df = spark.createDataFrame(rows, "skill_name string, skill_category string, match_pattern string")
+    rows = [(n, c, word_regex(lits), first_words(lits)) for n, (c, lits) in skill_rules(patterns).items()]
+    df = spark.createDataFrame(rows, "skill_name string, skill_category string, match_pattern string, "
+                                     "first_words array<string>")
     return surrogate_key(df, ["skill_name"], "skill_id").select(
-        "skill_id", "skill_name", "skill_category", "match_pattern")
+        "skill_id", "skill_name", "skill_category", "match_pattern", "first_words")
+
+
+def first_words(literals: list[str]) -> list[str]:
+    """The first alphanumeric word of each literal, lower-cased: what a matching text must hold."""
+    found = [re.search(_TOKEN, lit) for lit in literals]
+    if not all(found):
+        raise ValueError(f"a literal needs a letter or digit: {literals}")
+    return sorted({m[0].lower() for m in found})
 
 
 def skill_hits(text: Column, patterns=SKILL_PATTERNS) -> Column:
@@ -72,28 +70,64 @@ def match_skills(df: DataFrame, id_col: str, text_col: str, patterns=SKILL_PATTE
               .select(F.col(id_col), F.explode(skill_hits(F.col(text_col), patterns)).alias("skill_name")))
 
 
-def bridge_job_skills(fact: DataFrame, stg: DataFrame, skills: DataFrame) -> DataFrame:
+# The characters around an alphanumeric word, as in ``functions.patterns``.
+_TOKEN = "[A-Za-z0-9]+"
+
+
+def match_vocabulary(df: DataFrame, id_col: str, text_col: str, skills: DataFrame) -> DataFrame:
+    """``(id_col, skill_id)`` for every whole-word hit of a vocabulary table of any size.
+
+    A literal can only match where its first alphanumeric word stands as a word, so texts
+    meet patterns in an equi-join on lower-case words; each pattern is then tried only on
+    texts that hold the first word of one of its literals. Words and candidates travel
+    without the texts. ``id_col`` is unique; ``skills`` has ``skill_id``, ``match_pattern``
+    (whole-word, see ``word_regex``) and ``first_words``.
+    """
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).alias("_text"))
+    words = texts.select(id_col, F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("_text"), F.lit(f"({_TOKEN})")))).alias("_word"))
+    patterns = skills.select("skill_id", "match_pattern", F.explode("first_words").alias("_word"))
+    tried = words.join(patterns, "_word").select(id_col, "skill_id", "match_pattern").distinct()
+    return (texts.join(tried, id_col).where(F.expr("_text rlike match_pattern"))
+            .select(id_col, "skill_id"))
+
+
+def bridge_job_skills(fact: DataFrame, stg: DataFrame, skills: DataFrame, patterns=SKILL_PATTERNS) -> DataFrame:
     """``bridge_job_skills(job_posting_id, skill_id)`` from fact x staging x vocabulary.
 
-    Matching runs on staging as it is partitioned (the regex work is the costly
-    part and stays fully parallel); only the hits are joined to the fact keys.
+    Matching runs on staging as it is partitioned (the regex work is the costly part and
+    stays fully parallel); only the hits are joined to the fact keys. Raises when ``skills``
+    wasn't built from ``patterns``; for a vocabulary known only as a table there is
+    ``bridge_from_vocabulary``.
     """
-    hits = match_skills(stg.select("job_id", "description_clean"), "job_id", "description_clean")
+    want = {(n, word_regex(lits)) for n, (_, lits) in skill_rules(patterns).items()}
+    have = skills.select("skill_name", "match_pattern").limit(len(want) + 1).collect()
+    if {tuple(r) for r in have} != want:
+        raise ValueError("the skill table and the patterns disagree")
+    hits = match_skills(stg.select("job_id", "description_clean"), "job_id", "description_clean", patterns)
     return (hits.join(fact.select("job_id", "job_posting_id"), "job_id")
-                .join(bounded_broadcast(skills.select("skill_id", "skill_name"), 100_000), "skill_name")
+                .join(skills.select("skill_id", "skill_name"), "skill_name")
                 .select("job_posting_id", "skill_id"))
 
 
+def bridge_from_vocabulary(fact: DataFrame, stg: DataFrame, skills: DataFrame) -> DataFrame:
+    """W27 with the patterns of ``skills``, however many and whatever they were built from."""
+    hits = match_vocabulary(stg.select("job_id", "description_clean"), "job_id", "description_clean", skills)
+    return hits.join(fact.select("job_id", "job_posting_id"), "job_id").select("job_posting_id", "skill_id")
+
+
 def skill_category_counts(skills: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
-    """Skills per category; with a bridge also how many of them were matched."""
+    """Skills per category, most first; with a bridge also how many of them were matched."""
+    order = (F.col("cnt").desc(), F.col("skill_category"))
     per_cat = skills.groupBy("skill_category").agg(F.count(F.lit(1)).alias("cnt"))
     if bridge is None:
-        return per_cat
+        return per_cat.orderBy(*order)
     matched = (bridge.select("skill_id").distinct()
                .join(skills.select("skill_id", "skill_category"), "skill_id")
                .groupBy("skill_category").agg(F.count(F.lit(1)).alias("skills_matched")))
     return (per_cat.join(matched, "skill_category", "left")
-            .select("skill_category", "cnt", F.coalesce("skills_matched", F.lit(0)).alias("skills_matched")))
+            .select("skill_category", "cnt", F.coalesce("skills_matched", F.lit(0)).alias("skills_matched"))
+            .orderBy(*order))
 
 
 def bridge_summary(bridge: DataFrame) -> DataFrame:
@@ -153,4 +187,5 @@ def skill_limitation(stg: DataFrame, bridge: DataFrame) -> DataFrame:
         F.lit(CHECK_SKILL_LIMITATION).alias("check_name"), "total_jobs", "avg_desc_length",
         "truncated_descriptions", "jobs_with_skill",
         F.round(F.try_divide(100.0 * F.col("jobs_with_skill"), F.col("total_jobs")), 1)
-         .cast("double").alias("pct_coverage"))
+         .cast("double").alias("pct_coverage"),
+        F.lit(LIMITATION_NOTE).alias("interpretation"))

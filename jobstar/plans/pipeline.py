@@ -56,19 +56,19 @@ class Star:
 
     @cached_property
     def dim_company(self) -> DataFrame:
-        return mart.dim_company(self.stg)
+        return materialize(mart.dim_company(self.stg), "dim_company")
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return mart.dim_location(self.stg)
+        return materialize(mart.dim_location(self.stg), "dim_location")
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return mart.dim_date(self.stg)
+        return materialize(mart.dim_date(self.stg), "dim_date")
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return mart.dim_category(self.stg)
+        return materialize(mart.dim_category(self.stg), "dim_category")
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -78,7 +78,7 @@ class Star:
 
     @cached_property
     def dim_skill(self) -> DataFrame:
-        return skills.dim_skill(self.spark)
+        return materialize(skills.dim_skill(self.spark), "dim_skill")
 
     @cached_property
     def bridge(self) -> DataFrame:

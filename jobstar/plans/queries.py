@@ -15,7 +15,7 @@ from ..functions.text import collapse_whitespace, contains_text
 from ..operators import mart, parity, quality, salary, skills, staging
 from ..operators.joins import with_totals
 from ..operators.upsert import upsert_raw
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import landing
 from ..sources.standin import feed_rows
 from ..sources.tables import Tables
@@ -59,6 +59,36 @@ def q_upsert_raw(spark, sf):
     return upsert_raw(None, feed_rows(Tables(spark, sf))).select(*RAW_COLS)
 
 
+@register("upsert_two_batches", "W2", O.with_ctes(*O.CHAIN_RAW) + """
+ , again AS (SELECT job_id, search_term, max(id) AS id FROM feed
+           WHERE CAST(substr(search_term, 6) AS INTEGER) % 2 = 0 GROUP BY job_id, search_term),
+ fresh AS (SELECT 'new-' || job_id AS job_id, search_term, min(id) AS first_id, max(id) AS id FROM feed
+           WHERE search_term = 'term_1' GROUP BY job_id, search_term)
+ SELECT r.id, job_id, search_term, CASE WHEN a.id IS NULL THEN fetched_at ELSE TIMESTAMP '1970-01-01' END AS fetched_at,
+   CASE WHEN a.id IS NULL THEN title ELSE 'second ' || a.id END AS title,
+   CASE WHEN a.id IS NULL THEN company_name END AS company_name,
+   CASE WHEN a.id IS NOT NULL THEN '{"second":' || a.id || '}' END AS second_raw_data
+ FROM raw r LEFT JOIN again a USING (job_id, search_term)
+ UNION ALL
+ SELECT first_id + 1, job_id, search_term, TIMESTAMP '1970-01-01', 'second ' || id, NULL, '{"second":' || id || '}' FROM fresh""")
+def q_upsert_two_batches(spark, sf):
+    """The second batch has older fetch times and other values, and wins all the same; ids stay."""
+    feed = feed_rows(Tables(spark, sf))
+    first = materialize(upsert_raw(None, feed), "raw-first")
+    old = F.lit("1970-01-01").cast("timestamp_ntz")
+    line = F.substring_index("search_term", "_", -1).cast("int")
+    sent = feed.where((line % 2 == 0) | (line == 1))
+    job = F.when(line == 1, F.concat(F.lit("new-"), F.col("job_id"))).otherwise(F.col("job_id"))
+    text = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in first.schema.fields}
+    second = sent.select(*[c.alias(n) for n, c in (text | {
+        "id": F.col("id") + 1, "job_id": job, "search_term": F.col("search_term"), "fetched_at": old,
+        "title": F.concat(F.lit("second "), F.col("id").cast("string")),
+        "raw_data": F.concat(F.lit('{"second":'), F.col("id").cast("string"), F.lit("}"))}).items()])
+    merged = upsert_raw(first, second)
+    return merged.select("id", "job_id", "search_term", "fetched_at", "title", "company_name",
+                         F.when(F.col("raw_data").startswith('{"second"'), F.col("raw_data")).alias("second_raw_data"))
+
+
 @register("dedup_latest", "W3", O.with_ctes(*O.CHAIN_RAW) + """
  SELECT job_id, id, search_term, fetched_at FROM (
    SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY fetched_at DESC, id DESC) AS rn FROM raw)
@@ -68,7 +98,7 @@ def q_dedup_latest(spark, sf):
 
 
 @register("search_context", "W4", O.with_ctes(*O.CHAIN_RAW, O.STAGE0) +
-          " SELECT job_id, search_terms, search_term_count, first_fetched_at, last_fetched_at FROM search_agg")
+          " SELECT job_id, search_terms, search_term_count, first_fetched_at, last_fetched_at FROM stage0")
 def q_search_context(spark, sf):
     return staging.search_context(star_for(spark, sf).raw)
 
@@ -234,21 +264,27 @@ def q_dq_dates(spark, sf):
 
 
 @register("fuzzy_dup_tight", "W21", O.with_ctes(*O.CHAIN_STG) + """
- SELECT '5b. Fuzzy dup (tightened)' AS check_name, count(*) AS fuzzy_dup_pairs,
-   CAST(round(100.0 * count(*) / (SELECT count(*) FROM stg), 1) AS DOUBLE) AS pct_of_total
- FROM (SELECT a.job_id AS id_a, b.job_id AS id_b FROM stg a JOIN stg b
-       ON a.title_normalized = b.title_normalized AND a.company_normalized = b.company_normalized
-      AND a.state = b.state AND a.suburb = b.suburb AND a.job_id < b.job_id
-      AND abs(datediff('day', b.posted_date, a.posted_date)) <= 7) tight_pairs""")
+ , twins AS (
+   -- For each row: how many other rows of its group lie within seven days.
+   SELECT count(*) OVER (PARTITION BY title_normalized, company_normalized, state, suburb ORDER BY posted_date
+                         RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY FOLLOWING) - 1 AS others
+   FROM stg WHERE title_normalized IS NOT NULL AND company_normalized IS NOT NULL AND state IS NOT NULL
+              AND suburb IS NOT NULL AND posted_date IS NOT NULL)
+ SELECT '5b. Fuzzy dup (tightened)' AS check_name, CAST(coalesce(sum(others), 0) // 2 AS BIGINT) AS fuzzy_dup_pairs,
+   CAST(round(100.0 * (coalesce(sum(others), 0) // 2) / (SELECT count(*) FROM stg), 1) AS DOUBLE) AS pct_of_total,
+   count(*) FILTER (WHERE others > 0) AS rows_involved FROM twins""")
 def q_fuzzy_dup_tight(spark, sf):
     return quality.fuzzy_dup_tight(star_for(spark, sf).stg)
 
 
 @register("fuzzy_dup_orders", "W21", """
- SELECT count(*) AS fuzzy_dup_pairs FROM orders a JOIN orders b
-   ON a.o_custkey = b.o_custkey AND a.o_orderpriority = b.o_orderpriority
-  AND a.o_orderstatus = b.o_orderstatus AND a.o_orderkey < b.o_orderkey
-  AND abs(datediff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE))) <= 7""")
+ WITH twins AS (
+   SELECT count(*) OVER (PARTITION BY o_custkey, o_orderpriority, o_orderstatus ORDER BY CAST(o_orderdate AS DATE)
+                         RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY FOLLOWING) - 1 AS others
+   FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL
+                 AND o_orderdate IS NOT NULL)
+ SELECT CAST(coalesce(sum(others), 0) // 2 AS BIGINT) AS fuzzy_dup_pairs,
+   count(*) FILTER (WHERE others > 0) AS rows_involved FROM twins""")
 def q_fuzzy_dup_orders(spark, sf):
     return quality.fuzzy_pair_count(Tables(spark, sf).orders,
                                     ("o_custkey", "o_orderpriority", "o_orderstatus"), "o_orderdate", 7)
@@ -309,6 +345,12 @@ def q_match_skills(spark, sf):
     return star_for(spark, sf).bridge
 
 
+@register("match_skills_vocabulary", "W27", O.with_ctes(*O.CHAIN_SKILLS) + " SELECT job_posting_id, skill_id FROM bridge")
+def q_match_skills_vocabulary(spark, sf):
+    s = star_for(spark, sf)
+    return skills.bridge_from_vocabulary(s.fact, s.stg, s.dim_skill)
+
+
 @register("skill_category_counts", "W26+W28", O.with_ctes(*O.CHAIN_SKILLS) + """
  SELECT d.skill_category, count(*) AS cnt,
    count(*) FILTER (WHERE d.skill_id IN (SELECT skill_id FROM bridge)) AS skills_matched
@@ -354,7 +396,7 @@ def q_top_skills(spark, sf):
       FROM stg) AS truncated_descriptions,
    (SELECT count(DISTINCT job_posting_id) FROM bridge) AS jobs_with_skill,
    CAST(round(100.0 * (SELECT count(DISTINCT job_posting_id) FROM bridge) / (SELECT count(*) FROM stg), 1)
-     AS DOUBLE) AS pct_coverage""")
+     AS DOUBLE) AS pct_coverage, 'API truncation at 500 chars limits coverage' AS interpretation""")
 def q_skill_limitation(spark, sf):
     s = star_for(spark, sf)
     return skills.skill_limitation(s.stg, s.bridge)
@@ -406,7 +448,19 @@ def _clean_docs(spark, sf):
     return Tables(spark, sf).documents.select("doc_id", collapse_whitespace(F.col("text")).alias("text_clean"))
 
 
-DOCS_SKILLS_SQL = O.with_ctes(O.SKILLS.split("dim_skill AS")[0].rstrip().rstrip(","), f"""
+# Terms that occur in the documents: common words of their four languages, spellings in
+# several forms, parts of the license line, and near-misses.
+DOCUMENT_TERMS = [
+    ("license", "Legal", "Apache License"), ("license", "Legal", "Licensed under"), ("version", "Legal", "2.0"),
+    ("english", "Language", "of the"), ("english", "Language", "that"), ("german", "Language", "und"),
+    ("german", "Language", "in die"), ("french", "Language", "dans"), ("spanish", "Language", "para"),
+    ("spanish", "Language", "de la"), ("token", "Security", "token"), ("mail", "Contact", "example.com"),
+    ("insult", "Tone", "idiot"), ("insult", "Tone", "worthless"), ("rare", "None", "no such phrase"),
+]
+_TERM_ROWS = ", ".join(f"('{n}', '{c}', '{O.whole_word(p)}', '{p.lower()}')" for n, c, p in DOCUMENT_TERMS)
+
+DOCS_SKILLS_SQL = O.with_ctes(f"""
+skill_defs(skill_name, skill_category, pattern, literal) AS (VALUES {_TERM_ROWS})""", f"""
 docs AS (SELECT doc_id, trim(regexp_replace(text, '{WS_SQL}+', ' ', 'g')) AS text_clean FROM documents),
 doc_skills AS (SELECT DISTINCT d.doc_id, sd.skill_name FROM docs d CROSS JOIN skill_defs sd
                WHERE d.text_clean IS NOT NULL AND contains(lower(d.text_clean), sd.literal)
@@ -415,7 +469,14 @@ doc_skills AS (SELECT DISTINCT d.doc_id, sd.skill_name FROM docs d CROSS JOIN sk
 
 @register("match_skills_documents", "W27", DOCS_SKILLS_SQL + " SELECT doc_id, skill_name FROM doc_skills")
 def q_match_skills_documents(spark, sf):
-    return skills.match_skills(_clean_docs(spark, sf), "doc_id", "text_clean")
+    return skills.match_skills(_clean_docs(spark, sf), "doc_id", "text_clean", DOCUMENT_TERMS)
+
+
+@register("match_vocabulary_documents", "W27", DOCS_SKILLS_SQL + " SELECT doc_id, skill_name FROM doc_skills")
+def q_match_vocabulary_documents(spark, sf):
+    terms = skills.dim_skill(spark, DOCUMENT_TERMS)
+    hits = skills.match_vocabulary(_clean_docs(spark, sf), "doc_id", "text_clean", terms)
+    return hits.join(terms.select("skill_id", "skill_name"), "skill_id").select("doc_id", "skill_name")
 
 
 @register("document_profile", "W24+W32", DOCS_SKILLS_SQL + """
@@ -431,7 +492,7 @@ def q_document_profile(spark, sf):
                     F.round(F.avg(F.char_length(c)), 0).cast("double").alias("avg_length"),
                     F.count_if(contains_text(c, "$")).alias("with_dollar"),
                     F.count_if(contains_text(c, "…") | contains_text(c, "...")).alias("truncated"))
-    hit = (skills.match_skills(docs, "doc_id", "text_clean").select("doc_id").distinct()
+    hit = (skills.match_skills(docs, "doc_id", "text_clean", DOCUMENT_TERMS).select("doc_id").distinct()
            .agg(F.count(F.lit(1)).alias("docs_with_skill")))
     return base.transform(with_totals, hit)
 
@@ -505,20 +566,52 @@ def q_parity_check(spark, sf):
     return parity.parity_check(_star_tables(a), _star_tables(b))
 
 
+@register("parity_differences", "W35", O.with_ctes(*O.CHAIN_STG) + """
+ , a AS (SELECT job_id, salary_min_final, salary_max_final FROM stg),
+ b AS (SELECT job_id, CASE WHEN moved THEN salary_max_final ELSE salary_min_final END AS salary_min_final,
+              CASE WHEN moved THEN salary_min_final ELSE salary_max_final END AS salary_max_final
+       FROM (SELECT *, salary_min_final IS NULL AND salary_max_final IS NOT NULL AS moved FROM stg)),
+ gone AS (SELECT * FROM b WHERE job_id NOT LIKE '%7')
+ SELECT 'moved' AS build, 'only_a' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+ UNION ALL SELECT 'moved', 'only_b', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
+ UNION ALL SELECT 'gone', 'only_a', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM gone)""")
+def q_parity_differences(spark, sf):
+    """Builds that differ: a value that stands in the next column, and rows that are missing."""
+    a, b, gone = _differing_builds(star_for(spark, sf))
+    return (parity.locate_differences(a, b).withColumn("build", F.lit("moved"))
+            .unionByName(parity.locate_differences(b, gone).withColumn("build", F.lit("gone"))))
+
+
+def _differing_builds(s: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
+    lo, hi = F.col("salary_min_final"), F.col("salary_max_final")
+    a = s.stg.select("job_id", lo, hi)
+    moved = lo.isNull() & hi.isNotNull()
+    b = a.select("job_id", F.when(moved, hi).otherwise(lo).alias("salary_min_final"),
+                 F.when(moved, lo).otherwise(hi).alias("salary_max_final"))
+    return a, b, b.where(~F.col("job_id").endswith("7"))
+
+
+@register("parity_check_differing", "W35", O.with_ctes(*O.CHAIN_STG) + """
+ SELECT 'moved' AS tbl, count(*) AS rows_a, count(*) AS rows_b, true AS rows_match,
+   count(*) FILTER (WHERE salary_min_final IS NULL AND salary_max_final IS NOT NULL) = 0 AS content_match FROM stg
+ UNION ALL SELECT 'gone', count(*), count(*) FILTER (WHERE job_id NOT LIKE '%7'),
+   count(*) FILTER (WHERE job_id LIKE '%7') = 0, count(*) FILTER (WHERE job_id LIKE '%7') = 0 FROM stg
+ UNION ALL SELECT 'same', count(*), count(*), true, true FROM stg""")
+def q_parity_check_differing(spark, sf):
+    a, b, gone = _differing_builds(star_for(spark, sf))
+    return parity.parity_check({"moved": a, "gone": b, "same": a}, {"moved": b, "gone": gone, "same": a.repartition(3)})
+
+
 @register("ingest_incremental", "W36", O.with_ctes(*O.CHAIN_RAW) +
-          f" SELECT {_cols_sql(LANDED_COLS)} FROM raw")
+          f" SELECT {_cols_sql(LANDED_COLS)}, title AS raw_title FROM raw")
 def q_ingest_incremental(spark, sf):
-    rows = feed_rows(Tables(spark, sf))
-    pages = landing.pages_from_rows(rows).checkpoint(eager=True)
+    pages = landing.pages_from_rows(feed_rows(Tables(spark, sf)))
     pages_root = scratch_path(spark, "landing-stream")
-    # One drop per fetch year, landed in fetch order, as a daily loader would.
-    year = F.substring("fetched_at", 1, 4)
-    years = [r[0] for r in pages.select(year.alias("y")).distinct().orderBy("y").collect()]
-    for y in years:
-        landing.land_pages(pages.where(year == y), f"{pages_root}/{y}")
-    out = ingest_incremental(spark, f"{pages_root}/*", scratch_path(spark, "raw-table"),
+    # One drop; the files of a (term, page) hold its fetches in order.
+    landing.land_pages(pages, f"{pages_root}/drop")
+    raw = ingest_incremental(spark, f"{pages_root}/drop", scratch_path(spark, "raw-table"),
                              scratch_path(spark, "stream-ckpt"))
-    return spark.read.parquet(out).select(*LANDED_COLS)
+    return raw.select(*LANDED_COLS, F.get_json_object("raw_data", "$.title").alias("raw_title"))
 
 
 # ---------------------------------------------------------------- reports
@@ -546,6 +639,16 @@ def q_postings_by_city(spark, sf):
     return R.postings_by_location(star_for(spark, sf), "city", TOP_N)
 
 
+@register("postings_by_city_in_window", "R1", STAR_SQL + f"""
+ , w AS (SELECT location_id FROM fact WHERE date_id BETWEEN {WIN_FROM.replace('-', '')} AND {WIN_TO.replace('-', '')})
+ SELECT 'city' AS level, coalesce(dl.city, 'Unknown') AS location, count(*) AS postings,
+   {_pct_sql('count(*)', '(SELECT count(*) FROM w)')} AS pct
+ FROM w LEFT JOIN dim_location dl USING (location_id)
+ GROUP BY coalesce(dl.city, 'Unknown') ORDER BY postings DESC, location LIMIT {TOP_N}""")
+def q_postings_by_city_in_window(spark, sf):
+    return R.postings_by_location(star_for(spark, sf), "city", TOP_N, WIN_FROM, WIN_TO)
+
+
 @register("postings_by_company", "R2", STAR_SQL + f"""
  SELECT dc.company_name, count(*) AS postings, {_pct_sql('count(*)', FACTS)} AS pct
  FROM fact f JOIN dim_company dc ON f.company_id = dc.company_id

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joins import bounded_broadcast, with_totals
-from ..operators.mart import DIM_BROADCAST_ROWS, LOCATION_LEVELS
+from ..operators.joins import with_totals
+from ..operators.mart import LOCATION_LEVELS
 from ..operators.stats import exact_quantile
 from .pipeline import Star
 
@@ -27,10 +27,6 @@ def _pct(num: Column, den: Column) -> Column:
     return F.round(F.try_divide(100.0 * num, den), 1).cast("double")
 
 
-def _dim(df: DataFrame) -> DataFrame:
-    return bounded_broadcast(df, DIM_BROADCAST_ROWS)
-
-
 def _total(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count(_one()).alias("_total"))
 
@@ -46,13 +42,16 @@ def _facts_in_window(s: Star, start: str | None, end: str | None) -> DataFrame:
     return f
 
 
-def postings_by_location(s: Star, level: str = "city", top: int = 10) -> DataFrame:
-    """Postings per location level (NULL shown as 'Unknown'), percent of all, top ``top``."""
-    per_loc = s.fact.groupBy("location_id").agg(F.count(_one()).alias("_n"))
-    named = per_loc.join(_dim(s.dim_location.select("location_id", level)), "location_id", "left")
+def postings_by_location(s: Star, level: str = "city", top: int = 10, start: str | None = None,
+                         end: str | None = None) -> DataFrame:
+    """Postings per location level (NULL shown as 'Unknown') between two dates (both
+    included, all if none), percent of the postings there, top ``top``."""
+    facts = _facts_in_window(s, start, end)
+    per_loc = facts.groupBy("location_id").agg(F.count(_one()).alias("_n"))
+    named = per_loc.join(s.dim_location.select("location_id", level), "location_id", "left")
     per = named.groupBy(F.coalesce(F.col(level), F.lit("Unknown")).alias("location")).agg(
         F.sum("_n").alias("postings"))
-    return (per.transform(with_totals, _total(s.fact))
+    return (per.transform(with_totals, _total(facts))
             .select(F.lit(level).alias("level"), "location", "postings",
                     _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), F.col("location")).limit(top))
@@ -62,7 +61,7 @@ def postings_by_company(s: Star, top: int = 10) -> DataFrame:
     """R2: top hiring companies."""
     per = (s.fact.where(F.col("company_id").isNotNull())
            .groupBy("company_id").agg(F.count(_one()).alias("postings")))
-    return (per.join(_dim(s.dim_company.select("company_id", "company_name")), "company_id")
+    return (per.join(s.dim_company.select("company_id", "company_name"), "company_id")
             .transform(with_totals, _total(s.fact))
             .select("company_name", "postings", _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), F.col("company_name")).limit(top))
@@ -73,7 +72,7 @@ def salary_stats(s: Star) -> DataFrame:
     f = s.fact
     basic = f.agg(F.count(_one()).alias("total_jobs"), F.count("salary_avg").alias("n"),
                   F.round(F.avg("salary_avg"), 0).cast("double").alias("mean_salary"))
-    med = exact_quantile(f, "salary_avg", 0.5, ["job_posting_id"]).select(
+    med = exact_quantile(f, "salary_avg", 0.5).select(
         F.round(F.col("value"), 0).alias("median_salary"))
     return basic.transform(with_totals, med).select(
         "n", "mean_salary", "median_salary", _pct(F.col("n"), F.col("total_jobs")).alias("pct_with_salary"))
@@ -107,7 +106,7 @@ def daily_trend(s: Star, start: str | None = None, end: str | None = None) -> Da
     """Postings per posted date."""
     per = _facts_in_window(s, start, end).where(F.col("date_id").isNotNull()).groupBy("date_id").agg(
         F.count(_one()).alias("postings"))
-    return (per.join(_dim(s.dim_date.select("date_id", "full_date")), "date_id")
+    return (per.join(s.dim_date.select("date_id", "full_date"), "date_id")
             .select("full_date", "postings").orderBy("full_date"))
 
 
@@ -115,7 +114,7 @@ def monthly_profile(s: Star) -> DataFrame:
     """Per year-month the number of days with postings and the postings."""
     per_day = s.fact.where(F.col("date_id").isNotNull()).groupBy("date_id").agg(
         F.count(_one()).alias("_n"))
-    return (per_day.join(_dim(s.dim_date.select("date_id", "year", "month")), "date_id")
+    return (per_day.join(s.dim_date.select("date_id", "year", "month"), "date_id")
             .groupBy("year", "month")
             .agg(F.count(_one()).alias("active_days"), F.sum("_n").alias("postings"))
             .orderBy("year", "month"))
@@ -152,7 +151,7 @@ def top_skills_in_window(s: Star, start: str, end: str, min_count: int = 5) -> D
     demand = (s.bridge.join(f, "job_posting_id")
               .groupBy("skill_id").agg(F.count(_one()).alias("demand_count"))
               .where(F.col("demand_count") >= min_count))
-    return (demand.join(_dim(s.dim_skill.select("skill_id", "skill_name", "skill_category")), "skill_id")
+    return (demand.join(s.dim_skill.select("skill_id", "skill_name", "skill_category"), "skill_id")
             .transform(with_totals, f.agg(F.count(_one()).alias("_total")))
             .select("skill_name", "skill_category", "demand_count",
                     _pct(F.col("demand_count"), F.col("_total")).alias("pct_of_jobs"))
@@ -161,7 +160,7 @@ def top_skills_in_window(s: Star, start: str, end: str, min_count: int = 5) -> D
 
 def skill_category_rollup(s: Star) -> DataFrame:
     """Skill mentions and distinct jobs per skill category."""
-    tagged = s.bridge.join(_dim(s.dim_skill.select("skill_id", "skill_category")), "skill_id")
+    tagged = s.bridge.join(s.dim_skill.select("skill_id", "skill_category"), "skill_id")
     per_job = tagged.groupBy("skill_category", "job_posting_id").agg(F.count(_one()).alias("_n"))
     return (per_job.groupBy("skill_category")
             .agg(F.sum("_n").alias("mentions"), F.count(_one()).alias("jobs"))
@@ -171,7 +170,7 @@ def skill_category_rollup(s: Star) -> DataFrame:
 def category_share(s: Star) -> DataFrame:
     """Percent of postings per job family (missing category as 'Unknown')."""
     per = s.fact.groupBy("category_id").agg(F.count(_one()).alias("_n"))
-    named = per.join(_dim(s.dim_category.select("category_id", "category_label")), "category_id", "left")
+    named = per.join(s.dim_category.select("category_id", "category_label"), "category_id", "left")
     out = named.groupBy(F.coalesce("category_label", F.lit("Unknown")).alias("category")).agg(
         F.sum("_n").alias("postings"))
     return (out.transform(with_totals, _total(s.fact))
@@ -187,7 +186,7 @@ def location_drilldown(s: Star) -> DataFrame:
     NULL level apart from a subtotal.
     """
     per = s.fact.groupBy("location_id").agg(F.count(_one()).alias("_n"))
-    named = per.join(_dim(s.dim_location.select("location_id", *LOCATION_LEVELS)), "location_id", "left")
+    named = per.join(s.dim_location.select("location_id", *LOCATION_LEVELS), "location_id", "left")
     return (named.rollup(*LOCATION_LEVELS)
             .agg(F.grouping_id().alias("level"), F.sum("_n").alias("postings")))
 

@@ -159,11 +159,9 @@ def test_calendar_parts(spark):
     assert got[20260104].day_of_week == 7 and got[20260104].is_weekend == 1 and got[20260104].month_name == "January"
 
 
-def test_surrogate_key_dense_and_equal_to_row_number(spark, monkeypatch):
-    from jobstar.operators import keys
+def test_surrogate_key_dense_and_equal_to_row_number(spark):
     df = spark.range(0, 5000).select(F.format_string("k%05d", (F.col("id") * 7919) % 5000).alias("k"))
     expected = [r.k for r in df.orderBy("k").collect()]
-    monkeypatch.setattr(keys, "SMALL_ROWS", 10)      # force the distributed path
     got = surrogate_key(df, ["k"], "sid").orderBy("sid").collect()
     assert [r.sid for r in got] == list(range(1, 5001))
     assert [r.k for r in got] == expected
@@ -186,12 +184,81 @@ def test_conform_adds_defaults_and_casts(spark):
     assert out.salary_min == Decimal("12.50") and out.salary_is_predicted == 0 and out.latitude is None
 
 
-def test_exact_quantile_distributed_equals_percentile(spark, monkeypatch):
-    from jobstar.operators import keys
+def test_exact_quantile_distributed_equals_percentile(spark):
     from jobstar.operators.stats import exact_quantile
     df = spark.range(0, 4001).select("id", ((F.col("id") * 7919) % 1000 / 7.0).alias("v"))
-    monkeypatch.setattr(keys, "SMALL_ROWS", 10)      # force range partitioning + offsets
     for q in (0.5, 0.25, 0.9):
-        got = exact_quantile(df, "v", q, ["id"]).first()
+        got = exact_quantile(df, "v", q).first()
         want = df.agg(F.percentile("v", q)).first()[0]
         assert got.n == 4001 and abs(got.value - want) < 1e-9
+    empty = exact_quantile(df.where("id < 0"), "v", 0.5).first()
+    assert empty.n == 0 and empty.value is None
+
+
+def test_pair_counts_are_exact_beyond_doubles(spark):
+    sizes = spark.createDataFrame([(134_217_731,), (1,), (2,)], "_n long")
+    r = quality.pairs_of_sizes(sizes).first()
+    assert r.fuzzy_dup_pairs == 9007199590285315 + 1 and r.rows_flagged == 134_217_733
+    big = spark.createDataFrame([(4_000_000_000,)], "_n long")
+    assert quality.pairs_of_sizes(big).first().fuzzy_dup_pairs == 4_000_000_000 * 3_999_999_999 // 2
+
+
+def test_parity_sees_values_that_moved(spark):
+    from jobstar.operators.parity import locate_differences, parity_check
+    schema = "salary_max int, salary_min int"
+    a, b = spark.createDataFrame([(None, 50000)], schema), spark.createDataFrame([(50000, None)], schema)
+    r = parity_check({"t": a}, {"t": b}).first()
+    assert r.rows_match and not r.content_match
+    assert {(x.salary_max, x.salary_min, x.side) for x in locate_differences(a, b).collect()} == {
+        (None, 50000, "only_a"), (50000, None, "only_b")}
+    only = parity_check({"t": a}, {}).first()
+    assert only.rows_b is None and not only.content_match
+
+
+def test_places_with_bars_stay_apart(spark):
+    stg = spark.createDataFrame([("j1", "A|B", "C"), ("j2", "A", "B|C"), ("j3", "A", "B|C")], "job_id string, country string, state string")
+    for c in ("region", "city", "suburb", "title", "company_normalized", "category_tag", "contract_type", "contract_time"):
+        stg = stg.withColumn(c, F.lit(None).cast("string"))
+    for c in ("latitude", "longitude", "salary_min_final", "salary_max_final", "salary_avg_final"):
+        stg = stg.withColumn(c, F.lit(None).cast("decimal(12,2)"))
+    stg = stg.withColumn("posted_date", F.lit(None).cast("date")).withColumn("search_term_count", F.lit(1))
+    places = mart.dim_location(stg)
+    assert {(r.country, r.state) for r in places.collect()} == {("A|B", "C"), ("A", "B|C")} and places.count() == 2
+    company = spark.createDataFrame([], "company_id long, company_normalized string")
+    category = spark.createDataFrame([], "category_id long, category_tag string")
+    fact = {r.job_id: r.location_id for r in mart.load_fact(stg, company, places, category).collect()}
+    assert len(fact) == 3 and fact["j1"] != fact["j2"] == fact["j3"]
+
+
+def test_orphans_are_found(spark):
+    fact = spark.createDataFrame([(1, 10), (2, None), (3, 30)], "job_posting_id long, company_id long")
+    dim = spark.createDataFrame([(10,)], "company_id long")
+    assert mart.fact_orphans(fact, {"company_id": dim}).first().orphans == 1
+
+
+def test_vocabulary_of_another_list(spark):
+    import pytest
+    terms = [("cpp", "Language", "C++"), ("net", "Platform", ".NET"), ("two words", "X", "Data Lake")]
+    dim = skills.dim_skill(spark, terms)
+    texts = ["c++ and .net", "C", "x.net", "DATA lake house", "datalake", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    names = {r.skill_id: r.skill_name for r in dim.collect()}
+    got = sorted((r.id, names[r.skill_id]) for r in skills.match_vocabulary(df, "id", "text", dim).collect())
+    want = sorted(tuple(r) for r in skills.match_skills(df, "id", "text", terms).collect())
+    assert got == want and {(0, "cpp"), (0, "net"), (3, "two words")} <= set(got)
+    fact = spark.createDataFrame([("0", 1)], "job_id string, job_posting_id long")
+    stg = spark.createDataFrame([("0", "C++")], "job_id string, description_clean string")
+    assert skills.bridge_job_skills(fact, stg, dim, terms).count() == 1
+    assert skills.bridge_from_vocabulary(fact, stg, dim).count() == 1
+    with pytest.raises(ValueError):
+        skills.bridge_job_skills(fact, stg, dim)
+
+
+def test_reports_come_in_order(spark):
+    dim = spark.createDataFrame([(1, "b", "X"), (2, "a", "Y"), (3, "c", "Y")], "skill_id long, skill_name string, skill_category string")
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "job_posting_id long")
+    bridge = spark.createDataFrame([(1, 1), (2, 1), (1, 2), (2, 2), (3, 3)], "job_posting_id long, skill_id long")
+    assert [r.skill_name for r in skills.top_skills(bridge, dim, fact).collect()] == ["a", "b", "c"]
+    assert [r.skill_category for r in skills.skill_category_counts(dim, bridge).collect()] == ["Y", "X"]
+    stg = spark.createDataFrame([(None,), ("x",), ("x",), ("a",)], "category_tag string")
+    assert [r.category_tag for r in quality.dq_category(stg).collect()] == ["x", None, "a"]
