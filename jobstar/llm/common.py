@@ -30,6 +30,11 @@ def tmp_name(*taken: DataFrame) -> str:
             return prefix
 
 
+def small_batches(df: DataFrame) -> None:
+    """Whole texts go to Python in batches of rows: keep a batch to some megabytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
