@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import tmp_name
+from .common import small_batches, tmp_name
 from .words import ALNUM, hash_words, text_bytes
 
 WINDOW = 10
@@ -270,6 +270,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     items that repeat an identifier count as one. Repeated rows get equal results. Input
     columns named like added ones are replaced. An empty table gives an empty result.
     """
+    small_batches(docs)
     p = tmp_name(docs)
     added = ("n_words", "n_hit", "n_items", "hit_items", "hit_spans")
     own = [c for c in docs.columns if c not in added]

@@ -13,7 +13,9 @@ from collections.abc import Iterator
 from math import log2
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
+
+from .common import small_batches
 
 # The patterns of the base kinds, in their order.
 _LETTERS = re.ASCII | re.IGNORECASE
@@ -182,6 +184,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", min_bits: float = MIN_
     like added ones are replaced. An empty table gives an empty result.
     """
     names = ["n_assign", "n_access", "n_hex", "base_spans", "spans"]
+    small_batches(docs)
     own = docs.drop(*names)
     schema = T.StructType([*own.schema.fields, *(T.StructField(n, T.LongType()) for n in names[:3]),
                            *(T.StructField(n, T.StringType()) for n in names[3:])])

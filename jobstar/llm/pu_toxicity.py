@@ -22,12 +22,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import small_batches
+
 FEATURE_BITS = 20
 BEGINNINGS = (5, 6, 7)  # code points
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 9000
 MIN_DOCS = 4  # toxic documents that a feature must be in
-MIN_SURPLUS = 5.0  # standard errors by which a feature must be more frequent in toxic documents
+MIN_SURPLUS = 4.0  # standard errors by which a feature must be more frequent in toxic documents
 STEPS = 300
 RATE = 0.05
 DECAY = 3e-5
@@ -174,6 +176,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "toxic") -> Model:
     """Train on the rows of ``labels`` and ``docs`` that aren't held out."""
+    small_batches(docs)
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")))
     prior = known.agg(F.avg("y")).first()[0]
@@ -210,6 +213,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     equal texts get equal scores. Input columns of these two names are replaced. An empty
     table gives an empty result.
     """
+    small_batches(docs)
     own = docs.drop("score", "predicted")
     schema = T.StructType([*own.schema.fields, T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.slope))
