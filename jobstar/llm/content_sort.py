@@ -2,8 +2,9 @@
 
 The normalised text is range-partitioned by sampled splitters and sorted inside each
 partition (Spark's sort spills to disk), so equal texts become neighbours and a window over
-the sorted rows compares each text in full with the one before it. A range exchange on
-``(text, salt)`` already clusters the window's groups, so the text crosses the network once.
+the sorted rows compares each text in full with the one before it. A range exchange on the
+leading part of the window's key already clusters its groups, so the text crosses the network
+once.
 
 Skew: a text that holds more than ``1 / HOT_SHARE`` of all rows is found first by an exact
 count of text hashes (at most ``HOT_SHARE`` of them can exist, which bounds the broadcast).
@@ -16,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import fold_ascii, shuffle_partitions, tmp_name
+from .common import fold_ascii, shuffle_partitions
 
 HOT_SHARE = 200
+HEAD_CHARS = 16
 
 
 def content_sort_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -45,8 +47,11 @@ def content_sort_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .join(F.broadcast(hot), "h", "left")
               .withColumn("salt", F.when(F.col("hot"), F.monotonically_increasing_id() % parts).otherwise(F.lit(-1))))
     pick = F.col("id").asc_nulls_last() if keep == "smallest" else F.col("id").desc_nulls_last()
-    group = Window.partitionBy("norm", "salt")
-    sorted_once = (salted.repartitionByRange(parts, "norm", "salt")
+    # Splitters are sampled on the first characters and the hash: whole texts never reach the
+    # driver. The window's own key ends with the whole text.
+    salted = salted.withColumn("head", F.substring("norm", 1, HEAD_CHARS))
+    group = Window.partitionBy("head", "h", "salt", "norm")
+    sorted_once = (salted.repartitionByRange(parts, "head", "h", "salt")
                    .withColumn("part_keep", F.first("id").over(group.orderBy(pick)))
                    .withColumn("part_size", F.count(F.lit(1)).over(group.orderBy(pick).rowsBetween(
                        Window.unboundedPreceding, Window.unboundedFollowing)))
