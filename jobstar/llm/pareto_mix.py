@@ -66,6 +66,7 @@ def pareto_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     taken (0 to ``max_copies``) and ``taken`` the words. A null source is a source of its own,
     the last. Rows that repeat an identifier draw the same number and are taken alike, so
     reruns agree. ``weight`` (positive, null: 1) raises a document's odds inside its source.
+    A source without words has target 0, and its documents are taken 0 times.
     Input columns named like added ones are replaced. An empty table gives an empty result.
     """
     p = tmp_name(docs)
@@ -75,7 +76,7 @@ def pareto_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         draw.alias(p + "draw"), F.coalesce(weight if weight is not None else F.lit(1.0), F.lit(1.0)).cast("double").alias(p + "w"))
     thin = materialize(keyed.select(F.col(source_col).alias("source"), F.col(p + "draw").alias("draw"), F.col(p + "w").alias("w"), "size"), "mix-sizes")
     plan = materialize(source_targets(thin, weights, share, max_copies)
-                       .join(thin.groupBy("source").agg((F.sum(F.col("w") * F.col("size")) / F.sum("size")).alias("mean_w"))
+                       .join(thin.groupBy("source").agg(F.try_divide(F.sum(F.col("w") * F.col("size")), F.sum("size")).alias("mean_w"))
                              .withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2"), "mix-targets")
     cuts = _cuts(thin, plan, max_copies)
     rows = keyed.join(cuts.withColumnRenamed("source", p + "source"),

@@ -111,6 +111,20 @@ def test_weights_raise_the_odds(spark):
     assert taken[True] > 1.5 * taken[False]
 
 
+@pytest.mark.parametrize("sources", [("void", "s"), (None, "void")])
+def test_mix_of_a_source_without_words(spark, sources):
+    void, other = sources  # the first without words
+    rows = [(1, None, void), (2, "", void), (3, " \t\n", void)]
+    rows += [(i, "a b c", other) for i in range(10, 60)]
+    got = pareto_copies(frame(spark, rows)).toPandas()
+    of_void = got[got.doc_id < 10]
+    assert len(got) == len(rows) and (of_void[["size", "source_size", "target", "copies", "taken"]] == 0).all(axis=None)
+    rest = got[got.doc_id >= 10]
+    assert abs(rest.taken.sum() - 1.5 * rest["size"].sum()) <= 3
+    mixed = mix(frame(spark, rows))
+    assert mixed.where("doc_id < 10").count() == 0 and mixed.count() == got.copies.sum()
+
+
 # ---- archives ----
 
 PAGES = "page_id long, url string, html string, payload string, digest int"
