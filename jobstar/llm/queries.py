@@ -13,7 +13,7 @@ from .fm_index import find_contamination
 from .guess_cost import scan_secrets
 from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
-from .ngram_join import ngram_components
+from .ngram_join import ngram_links
 from .pareto_mix import pareto_copies
 from .pu_toxicity import fit_model, held_out, score_toxicity
 from .tool_links import CHAT_SCHEMAS, chat_calls, link_tool_calls
@@ -23,7 +23,7 @@ _FOLDED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_components(read_table(spark, sf_dir, "documents"))
+    return ngram_links(read_table(spark, sf_dir, "documents"))
 
 
 def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from jobstar.llm.content_sort import content_sort_groups
 from jobstar.llm.fm_index import Phrases, _mark, find_contamination
 from jobstar.llm.guess_cost import base_spans, guess_bits, scan_secrets
 from jobstar.llm.line_runs import LineRuns, dedup_lines
-from jobstar.llm.ngram_join import ngram_components
+from jobstar.llm.ngram_join import ngram_components, ngram_links
 from jobstar.llm.signature_tree import SignatureTree, bitmap_bits, candidate_pairs, linked, own_components
 from oracle_compare import compare, duck
 
@@ -103,6 +103,28 @@ def test_ngram_join_is_exact(spark, monkeypatch, small_blocks):
     assert got == brute_components(rows)
 
 
+def brute_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    near = lambda a, b: bool(a) and 100 * len(a & b) >= 75 * len(a | b)
+    return Counter((d, sum(near(s, o) for k, o in enumerate(sets) if k != i)) for i, ((d, _), s) in enumerate(zip(rows, sets)))
+
+
+def test_ngram_join_counts_every_link(spark, monkeypatch):
+    # Groups of linked texts within a block and over many blocks and size classes, with copies.
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    rng = random.Random(7)
+    texts = [f"a b c d e f g h i j k l m n o p q r s t {i}" for i in range(6)]
+    for n, share in ((45, 0.01), (6, 0.03)):
+        base = [f"f{n}x{rng.randrange(9999)}" for _ in range(120)]
+        texts += [t + " more" * rng.randrange(2) + " ".join(f" y{rng.randrange(9)}{k}" for k in range(rng.choice([0, 0, 15, 30, 60])))
+                  for t in near_copies(rng, base, n, share)]
+    rows = list(enumerate(texts)) + [(900, None), (901, "  "), (902, "alone"), (None, texts[0]), (3, texts[3]), (903, texts[9].upper())]
+    got = ngram_links(frame(spark, rows)).toPandas()
+    want = brute_links(rows)
+    assert Counter((None if d != d else int(d), k) for d, k in zip(got.doc_id, got.n_links)) == want
+    assert want[(902, 0)] == 1 and max(k for _, k in want) > 8 and len({k for _, k in want}) > 5
+
+
 def test_ngram_join_of_given_documents_and_of_none(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     got = Counter(tuple(r) for r in ngram_components(docs).collect())
