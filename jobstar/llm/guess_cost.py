@@ -2,8 +2,9 @@
 
 The guess cost of a value is the least number of guesses (in bits) over all ways to cut it
 into words, dates, repeats, keyboard walks and characters guessed one by one. It is found by
-dynamic programming over the value's places, in time linear in its length: from each place
-only the longest repeat and walk are tried, beside the words and dates of bounded length.
+dynamic programming over the value's places. Every end of a walk (from three characters on) and
+every whole number of repetitions is tried, beside the words and dates of bounded length; the
+unit of a repeat has at most ``_MAX_UNIT`` characters, and words are those of ``COMMON_WORDS``.
 """
 
 from __future__ import annotations
@@ -95,13 +96,29 @@ def guess_bits(value: str) -> float:
     plain = lower.translate(_LEET)
     best = [0.0] + [float("inf")] * n
     walks = _longest_walks(lower)
-    repeats = [(u, _longest_repeats(value, u)) for u in range(1, min(_MAX_UNIT, n // 2) + 1)]
+    repeats = [(u, _longest_repeats(value, u), [[] for _ in range(u)])
+               for u in range(1, min(_MAX_UNIT, n // 2) + 1)]
 
     def reach(end: int, bits: float) -> None:
         if bits < best[end]:
             best[end] = bits
 
-    for i in range(n):
+    for i in range(n + 1):
+        # Repeats that may end here, by start: ``(start, last end, bits but for the times)``. A later
+        # start that an earlier one beats once loses to it at every end that both reach.
+        for u, _, starts in repeats:
+            open_ = []
+            for s in starts[i % u]:
+                times = (i - s[0]) // u
+                bits = s[2] + log2(times)
+                if s[1] < i or times >= 2 and any(e[1] >= s[1] and e[2] + log2((i - e[0]) // u) <= bits for e in open_):
+                    continue
+                open_.append(s)
+                if times >= 2 and u * times >= 3:
+                    reach(i, bits)
+            starts[i % u] = open_
+        if i == n:
+            break
         now = best[i]
         reach(i + 1, now + _char_bits(value[i]))
         now += _PIECE_BITS
@@ -117,11 +134,13 @@ def guess_bits(value: str) -> float:
                 if m:
                     reach(m.end(), now + bits)
         if walks[i] - i >= 3:
-            reach(walks[i], now + log2(len("".join(_KEY_ROWS)) * 2) + log2(walks[i] - i))
-        for u, same in repeats:
-            times = same[i] // u + 1
-            if times >= 2 and u * times >= 3:
-                reach(i + u * times, now + sum(map(_char_bits, value[i:i + u])) + log2(times))
+            for end in range(i + 3, walks[i] + 1):
+                reach(end, now + log2(len("".join(_KEY_ROWS)) * 2) + log2(end - i))
+        for u, same, starts in repeats:
+            if same[i] >= u:
+                bits = now + sum(map(_char_bits, value[i:i + u]))
+                if not any(e[1] >= i + u + same[i] and e[2] + log2((i - e[0]) // u + 2) <= bits + 1 for e in starts[i % u]):
+                    starts[i % u].append((i, i + u + same[i], bits))
     return best[n]
 
 

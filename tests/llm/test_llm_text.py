@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_SMALL
-from jobstar.llm import content_sort, line_runs, ngram_join, queries
+from jobstar.llm import content_sort, guess_cost, line_runs, ngram_join, queries
 from jobstar.llm.common import numbered
 from jobstar.llm.content_sort import content_sort_groups
 from jobstar.llm.fm_index import Phrases, _mark, find_contamination
@@ -307,6 +307,30 @@ def test_guess_costs_rank_values():
         assert all(guess_bits(v) <= guess_bits(v[:i]) + guess_bits(v[i:]) + 1e-9 for i in range(len(v)))
 
 
+def brute_bits(value):
+    """All pieces between all places; for lower-case values without words and dates."""
+    best = [0.0] + [float("inf")] * len(value)
+    for e in range(1, len(value) + 1):
+        best[e] = best[e - 1] + guess_cost._char_bits(value[e - 1])
+        for i in range(e):
+            piece, n = value[i:e], e - i
+            steps = {guess_cost._NEXT.get(p, 0) for p in zip(piece, piece[1:])}
+            costs = [np.log2(2 * sum(map(len, guess_cost._KEY_ROWS))) + np.log2(n)] if n >= 3 and steps in ({1}, {-1}) else []
+            costs += [sum(map(guess_cost._char_bits, piece[:u])) + np.log2(n // u) for u in range(1, min(8, n // 2) + 1)
+                      if n >= 3 and n % u == 0 and piece == piece[:u] * (n // u)]
+            best[e] = min([best[e], *(best[i] + 1 + c for c in costs)])
+    return best[-1]
+
+
+def test_guess_costs_are_the_least():
+    assert guess_bits("asdfghello") < 16  # asdfg and hello, not the longest walk
+    rng = random.Random(4)
+    for _ in range(300):
+        parts = ["qwe", "asdf", "zxcv", "cxz", "x", "q", "xq", "zz", "asd" * 2, "vbn" * 3]
+        value = "".join(rng.choice(parts) * rng.choice([1, 1, 2, 5]) for _ in range(rng.randrange(1, 8)))
+        assert abs(guess_bits(value) - brute_bits(value)) < 1e-6, value
+
+
 def test_secret_scan_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "pwd: x7$Kq9!mZp2w and passphrase is monkeydragon"), (3, "pwd: x7$Kq9!mZp2w and passphrase is monkeydragon"),
             (None, "é token = 'f33e61083db5dbdf4bd2369d2f80176e57f7fda2'"), (4, "pwd=" + "aB3$x" * 20_000)]
