@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import read_table
+from .chunk_bpe import bpe_round_trip, read_ranks
 from .content_sort import content_sort_groups
+from .equal_average import compress_vectors
 from .fm_index import find_contamination
+from .gnat_negatives import mine_hard_negatives
 from .guess_cost import scan_secrets
 from .histogram_sort import histogram_sort_shards
 from .line_runs import dedup_lines
@@ -137,6 +140,81 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "score", "predicted"))
 
 
+def op11_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine_hard_negatives(rows, anchors=F.expr("vec_id % 100 = 0"))
+
+
+# Components as whole numbers; rows with a null vector or a null or non-finite component are left out.
+_WHOLE = """list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+OP11_SQL = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           {_WHOLE.format(scale=256)} AND label IS NOT NULL),
+score AS MATERIALIZED (
+    SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS other, b.vec_id,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s
+    FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positive AS (
+    SELECT r, anchor_id, other, vec_id AS positive_id, s AS positive_score FROM score WHERE same
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, vec_id NULLS LAST, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY r, p.other ORDER BY s DESC, vec_id NULLS LAST, score.other) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, s AS negative_score
+FROM positive p JOIN score USING (r, anchor_id)
+WHERE NOT same AND 100 * s BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+def op12_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe_round_trip(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+
+
+def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(read_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op13_sql() -> str:
+    assigned = """a{i} AS MATERIALIZED (
+    SELECT r, p.part, p.x, min(CAST(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x)
+                                    + list_inner_product(b.x, b.x) AS BIGINT) * 256 + entry) AS best
+    FROM cut p JOIN b{i} b ON p.part = b.part GROUP BY r, p.part, p.x)"""
+    grown = """b{j} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m.x, old.x) AS x FROM b{i} old LEFT JOIN (
+        SELECT part, entry, list(floor_of ORDER BY place) AS x FROM (
+            SELECT part, best % 256 AS entry, place, CAST((sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) AS BIGINT)
+                   / count(*) AS floor_of
+            FROM (SELECT part, best, unnest(x)::BIGINT AS c, generate_subscripts(x, 1) AS place FROM a{i})
+            GROUP BY part, best % 256, place) GROUP BY part, entry) m USING (part, entry))"""
+    rounds = ",\n".join(f"{assigned.format(i=i)},\n{grown.format(i=i, j=i + 1)}" for i in range(4))
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, vec_id, label, v
+    FROM (SELECT vec_id, label, {_WHOLE.format(scale=1024)})),
+cut AS MATERIALIZED (
+    SELECT r, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x
+    FROM kept, (SELECT unnest(generate_series(0, 3)) AS part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM cut WHERE r <= 256),
+{rounds},
+{assigned.format(i=4)},
+book AS (
+    SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256
+    FROM (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS place FROM b4)),
+coded AS (
+    SELECT r, string_agg(format('{{:02x}}', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+    FROM a4 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), book"""
+
+
+OP13_SQL = _op13_sql()
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fm_index": op2_fm_index,
@@ -148,6 +226,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_content_sort": op8_content_sort,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_pu_toxicity": op10_pu_toxicity,
+    "op11_gnat_negatives": op11_gnat_negatives,
+    "op12_chunk_bpe": op12_chunk_bpe,
+    "op13_equal_average": op13_equal_average,
 }
 
 SQL: dict[str, str] = {
@@ -155,6 +236,8 @@ SQL: dict[str, str] = {
     "op3_warc_normal": OP3_SQL,
     "op6_line_runs": OP6_SQL,
     "op8_content_sort": OP8_SQL,
+    "op11_gnat_negatives": OP11_SQL,
+    "op13_equal_average": OP13_SQL,
 }
 
 
