@@ -28,7 +28,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,8 @@ CHUNK = 16_384
 OVERLAP = 256
 LOOK = 3
 MAX_RANKS = 2_000_000  # entries of a rank file that may be broadcast
-_CACHED_PIECES, _CACHED_CHARS = 200_000, 64
+_CACHED_PIECES, _CACHED_CHARS = 300_000, 64
+_SHORT, _NONE = 64, 1 << 60  # bytes of a piece merged by plain scans; no rank
 
 # Between these two characters every split by the pattern has a boundary.
 ANCHOR = r"\p{L}(?=[^\p{L}])|\p{N}(?=[^\p{N}])|[^\s\p{L}\p{N}](?=[\s\p{N}])"
@@ -65,6 +66,18 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n = len(piece)
+    if n <= _SHORT:
+        rank, parts = ranks.get, [piece[i:i + 1] for i in range(n)]
+        pairs = [rank(piece[i:i + 2], _NONE) for i in range(n - 1)]
+        while pairs and (least := min(pairs)) != _NONE:
+            i = pairs.index(least)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], _NONE)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
+        return [ranks[p] for p in parts]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
     heapify(heap)
@@ -92,14 +105,14 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int
 
 
 class PieceIds(dict):
-    """Ids by pre-token; short ones are remembered, up to a bound."""
+    """The ids of a pre-token, as packed 32-bit numbers; short ones are remembered, up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks, self.longest = ranks, max(map(len, ranks), default=0)
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = merge_piece(piece.encode(), self.ranks, self.longest)
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("i", merge_piece(piece.encode(), self.ranks, self.longest)).tobytes()
         if len(piece) <= _CACHED_CHARS:
             if len(self) >= _CACHED_PIECES:
                 self.clear()
@@ -111,19 +124,17 @@ def _encoder(shared, pattern: str, text_col: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, known = regex.compile(pattern).findall, PieceIds(shared.value)
         for batch in batches:
-            ids, ends = array("i"), array("i", [0])
             kept = [i for i, c in enumerate(batch.schema.names) if c != text_col]
-            lo = 0
+            lo, ids, ends = 0, [], [0]
             for i, text in enumerate(batch.column(text_col)):
-                ids.extend(chain.from_iterable(map(known.__getitem__, pieces(text.as_py()))))
-                ends.append(len(ids))
-                if len(ids) > 4_000_000 or i == batch.num_rows - 1:
+                ids.append(b"".join(map(known.__getitem__, pieces(text.as_py()))))
+                ends.append(ends[-1] + len(ids[-1]) // 4)
+                if ends[-1] > 4_000_000 or i == batch.num_rows - 1:
                     part = batch.slice(lo, i + 1 - lo)
-                    found = pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, np.int32)),
-                                                     pa.array(np.frombuffer(ids, np.int32)) if ids else pa.array([], pa.int32()))
+                    found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                     yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), found],
                                                      names=[*(part.schema.names[c] for c in kept), "ids"])
-                    lo, ids, ends = i + 1, array("i"), array("i", [0])
+                    lo, ids, ends = i + 1, [], [0]
     return encode
 
 
@@ -240,7 +251,7 @@ def bpe_decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: data for data, rank in shared.value.items()}
         for batch in batches:
-            data = [b"".join(map(token.__getitem__, ids.as_py())) for ids in batch.column("ids")]
+            data = [b"".join(map(token.__getitem__, ids.values.to_numpy().tolist())) for ids in batch.column("ids")]
             yield batch.append_column("data", pa.array(data, pa.binary()))
 
     return encoded.mapInArrow(decode, _nullable(encoded.withColumn("data", F.lit(b"")).schema))
