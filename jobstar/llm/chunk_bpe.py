@@ -108,7 +108,6 @@ class PieceIds(dict):
     """The ids of a pre-token, as packed 32-bit numbers; short ones are remembered, up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
         self.ranks, self.longest = ranks, max(map(len, ranks), default=0)
 
     def __missing__(self, piece: str) -> bytes:
@@ -122,7 +121,9 @@ class PieceIds(dict):
 
 def _encoder(shared, pattern: str, text_col: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = regex.compile(pattern).findall, PieceIds(shared.value)
+        pieces, state = regex.compile(pattern).findall, shared.value
+        # A worker keeps its copy of the broadcast, and with it the pieces it has met, over its tasks.
+        known = state.setdefault("known", PieceIds(state["ranks"]))
         for batch in batches:
             kept = [i for i, c in enumerate(batch.schema.names) if c != text_col]
             lo, ids, ends = 0, [], [0]
@@ -235,7 +236,7 @@ def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
     if any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("the ranks lack a single byte")
     small_batches(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
     text = F.coalesce(F.col(text_col), F.lit(""))
     short = docs.where(F.char_length(text) <= chunk).select(
         F.col(id_col).alias("id"), F.lit(None).cast("long").alias("row"), F.lit(1).cast("long").alias("part"), text.alias("text"))
@@ -286,22 +287,26 @@ def _hash_schema(batch: pa.RecordBatch) -> pa.Schema:
                       ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
+def in_order(long: DataFrame) -> DataFrame:
+    """Each row's parts in one partition and in order; a text's ids are exchanged, not its bytes."""
+    return long.repartition("row").sortWithinPartitions("row", "part")
+
+
 def bpe_digests(short: DataFrame, long: DataFrame) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` of decoded frames, a line per input row.
 
-    The hashes are those of the decimal ids joined by commas and of the bytes. A long text's
-    parts come sorted to one task, which hashes them one after the other.
+    The hashes are those of the decimal ids joined by commas and of the bytes. ``long`` must
+    come with a row's parts in one partition, in order (``in_order``): they are hashed one after the other.
     """
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     one = short.select("id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
                        F.sha2("data", 256).alias("decoded_sha256"))
-    parts = (long.select("id", "row", "part", F.size("ids").cast("long").alias("n"), joined.alias("joined"), "data")
-             .repartition("row").sortWithinPartitions("row", "part"))
+    parts = long.select("id", "row", F.size("ids").cast("long").alias("n"), joined.alias("joined"), "data")
     return one.unionByName(parts.mapInArrow(_hash_rows, _nullable(one.schema)))
 
 
 def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
                    chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``id_col, n_tokens, ids_sha256, decoded_sha256``: every text encoded and decoded again, as ``bpe_encode`` says."""
-    short, long = (bpe_decode(df, ranks) for df in bpe_encode(docs, ranks, pattern, id_col, text_col, chunk, overlap))
-    return bpe_digests(short, long).withColumnRenamed("id", id_col)
+    short, long = bpe_encode(docs, ranks, pattern, id_col, text_col, chunk, overlap)
+    return bpe_digests(bpe_decode(short, ranks), bpe_decode(in_order(long), ranks)).withColumnRenamed("id", id_col)
