@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from jobstar.plans import reports as R  # noqa: E402
 from jobstar.plans.pipeline import Star  # noqa: E402
 from jobstar.operators import quality, skills  # noqa: E402
-from jobstar.operators.upsert import upsert_raw  # noqa: E402
+from jobstar.operators.upsert import upsert_by_job  # noqa: E402
 from jobstar.session import build_session, materialize  # noqa: E402
 from jobstar.sources.standin import feed_rows  # noqa: E402
 from jobstar.sources.tables import Tables  # noqa: E402
@@ -51,7 +51,7 @@ def main() -> None:
     # operator of the library, so its time stands apart from the total.
     landed = timed("land_feed", lambda: materialize(feed_rows(Tables(spark, sf_dir)), "landed"))
     setup = {"land_feed": times.pop("land_feed")}
-    s = Star(spark, raw=upsert_raw(None, landed))
+    s = Star(spark, raw=upsert_by_job(None, landed, cpus * 2))
     # Pipeline layers: upsert + staging (written once), then keys, fact and bridge on it.
     timed("stage_jobs", lambda: s.stg)
     timed("star_build", lambda: (s.dim_company, s.dim_location, s.dim_category, s.fact, run(s.fact)))

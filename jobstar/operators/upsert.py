@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.stored import store_bucketed
+
 RAW_KEY = ("job_id", "search_term")
+HOT_SHARE = 200  # a job with more than one in so many rows is merged before the exchange by job
 
 
 def upsert_raw(existing: DataFrame | None, batch: DataFrame,
@@ -24,21 +27,59 @@ def upsert_raw(existing: DataFrame | None, batch: DataFrame,
     One shuffle on the key; both picks are partial aggregates, so a hot key is
     combined map-side before the exchange.
     """
-    cols = [c for c in batch.columns]
-    sources = [batch.withColumn("_src", F.lit(1))]
-    if existing is not None:
-        # Order-only columns of the batch (e.g. page position) are NULL for table rows;
-        # table rows always precede batch rows anyway.
-        fill = [F.col(c) if c in existing.columns else F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                for c in cols]
-        sources.insert(0, existing.select(*fill).withColumn("_src", F.lit(0)))
-    allrows = sources[0]
-    for s in sources[1:]:
-        allrows = allrows.unionByName(s)
+    return _merged(_applied(existing, batch), batch.columns, batch_order, key)
+
+
+def _applied(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """All rows with ``_src``: 0 for the table's, 1 for the batch's."""
+    rows = batch.withColumn("_src", F.lit(1))
+    if existing is None:
+        return rows
+    # Order-only columns of the batch (e.g. page position) are NULL for table rows;
+    # table rows always precede batch rows anyway.
+    fill = [F.col(c) if c in existing.columns else F.lit(None).cast(batch.schema[c].dataType).alias(c)
+            for c in batch.columns]
+    return existing.select(*fill).withColumn("_src", F.lit(0)).unionByName(rows)
+
+
+def _merged(rows: DataFrame, cols: list[str], batch_order: tuple[str, ...], key: tuple[str, ...]) -> DataFrame:
     order = F.struct(F.col("_src"), *[F.col(c) for c in batch_order])
     value_cols = [c for c in cols if c not in key and c != "id"]
-    merged = allrows.groupBy(*key).agg(
+    merged = rows.groupBy(*key).agg(
         F.min_by(F.col("id"), order).alias("id"),
         F.max_by(F.struct(*[F.col(c) for c in value_cols]), order).alias("_v"))
     return merged.select(*[F.col(c) if c in key or c == "id" else F.col(f"_v.{c}").alias(c) for c in cols])
 
+
+def _hot_jobs(rows: DataFrame, job: str) -> list:
+    """The jobs, at most ``HOT_SHARE``, that hold more than one in ``HOT_SHARE`` rows (counted without payloads)."""
+    most = rows.groupBy(job).count().orderBy(F.desc("count")).limit(HOT_SHARE).collect()
+    total = rows.count() if most else 0
+    return [r[job] for r in most if r["count"] * HOT_SHARE > total]
+
+
+def upsert_by_job(existing: DataFrame | None, batch: DataFrame, buckets: int,
+                  batch_order: tuple[str, ...] = ("fetched_at", "id"),
+                  key: tuple[str, ...] = RAW_KEY) -> DataFrame:
+    """``upsert_raw`` with the result dealt by job over ``buckets`` partitions, in one exchange of the payload.
+
+    Dealt by job, the rows need no further exchange to be merged by key, stored in buckets of the
+    job, or grouped by job for staging. A job with many rows is merged on the map side first, as in
+    ``upsert_raw``; only its merged rows (one per search term) are dealt with the others.
+    """
+    rows = _applied(existing, batch)
+    job = F.col(key[0])
+    hot = _hot_jobs(rows.select(key[0]), key[0])
+    if hot:
+        known = [j for j in hot if j is not None]
+        is_hot = F.coalesce(job.isin(known), F.lit(None in hot))
+        merged = _merged(rows.where(is_hot), batch.columns, batch_order, key).withColumn("_src", F.lit(1))
+        rows = rows.where(~is_hot).unionByName(merged)
+    return _merged(rows.repartition(buckets, key[0]), batch.columns, batch_order, key)
+
+
+def store_raw(existing: DataFrame | None, batch: DataFrame, buckets: int,
+              batch_order: tuple[str, ...] = ("fetched_at", "id"), name: str = "raw_jobs") -> DataFrame:
+    """The merged raw table, stored in buckets of the job and read back: staging groups it as it lies."""
+    return store_bucketed(upsert_by_job(existing, batch, buckets, batch_order), name, ["job_id"], buckets,
+                          ["job_id", "search_term"], exchange=False)

@@ -96,6 +96,33 @@ feed AS (
   FROM feed0
 )"""
 
+# The payload text of each landed row: absent fields are left out.
+_TEXT = "'\"{0}\":' || CAST(to_json({1}) AS VARCHAR)"
+_NUMBER = "'\"{0}\":' || CAST({1} AS VARCHAR)"
+
+
+def _object(fields: list[str]) -> str:
+    return "'{' || array_to_string(list_filter([" + ", ".join(fields) + "], lambda f: f IS NOT NULL), ',') || '}'"
+
+
+PAYLOAD = f"""
+payload AS (
+  SELECT *, {_object([
+    _TEXT.format("id", "job_id"), _TEXT.format("title", "title"),
+    "'\"company\":' || CASE WHEN company_name IS NOT NULL THEN " + _object([_TEXT.format("display_name", "company_name")]) + " END",
+    "'\"location\":' || CASE WHEN location_display IS NOT NULL THEN " + _object([
+        _TEXT.format("display_name", "location_display"),
+        "'\"area\":[' || array_to_string(list_transform(area, lambda a: coalesce(CAST(to_json(a) AS VARCHAR), 'null')), ',') || ']'"]) + " END",
+    _NUMBER.format("latitude", "latitude"), _NUMBER.format("longitude", "longitude"),
+    "'\"category\":' || CASE WHEN category_tag IS NOT NULL THEN " + _object([
+        _TEXT.format("tag", "category_tag"), _TEXT.format("label", "category_label")]) + " END",
+    _TEXT.format("contract_type", "contract_type"), _TEXT.format("contract_time", "contract_time"),
+    _NUMBER.format("salary_min", "salary_min"), _NUMBER.format("salary_max", "salary_max"),
+    _NUMBER.format("salary_is_predicted", "salary_is_predicted"), _TEXT.format("description", "description"),
+    _TEXT.format("created", "created"), _TEXT.format("redirect_url", "redirect_url")])} AS raw_data
+  FROM feed
+)"""
+
 # Per (job_id, search_term) the newest row's values, the first row's id.
 RAW = """
 raw AS (

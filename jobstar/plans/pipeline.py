@@ -12,15 +12,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import mart, quality, salary, skills, staging
-from ..operators.upsert import upsert_raw
+from ..operators.upsert import store_raw
 from ..sources.standin import feed_rows
 from ..session import materialize
 from ..sources.tables import Tables
 
 
 def build_raw(t: Tables) -> DataFrame:
-    """Landed rows of the stand-in feed, merged into one row per (job_id, search_term)."""
-    return upsert_raw(None, feed_rows(t))
+    """Landed rows of the stand-in feed, merged into one row per (job_id, search_term) and stored by job."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return store_raw(None, feed_rows(t), buckets)
 
 
 def build_staging(raw: DataFrame) -> DataFrame:
@@ -36,8 +37,8 @@ class Star:
 
     @cached_property
     def raw(self) -> DataFrame:
-        # The merged raw table is a stored layer (bronze); write it once.
-        return self._raw if self._raw is not None else materialize(build_raw(self.tables), "raw_jobs")
+        # The merged raw table is a stored layer (bronze), laid out by job; staging needs no exchange on it.
+        return self._raw if self._raw is not None else build_raw(self.tables)
 
     @cached_property
     def stg(self) -> DataFrame:
