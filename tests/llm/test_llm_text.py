@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from jobstar.llm import content_sort, guess_cost, line_runs, ngram_join, queries
@@ -275,6 +276,25 @@ def test_line_runs_are_levelled(spark):
         LineRuns(spark, fanout=1)
 
 
+def test_line_runs_are_merged_as_they_lie(spark, tmp_path):
+    """Keys of a batch meet older runs without an exchange or a sort on either side."""
+    spark.range(3000).selectExpr("id AS h1", "id % 7 AS h2", "id").write.parquet(str(tmp_path / "k"))
+    keys = spark.read.parquet(str(tmp_path / "k"))
+    runs = LineRuns(spark, fanout=3)
+
+    def stored(lo, hi):
+        return line_runs.store_run(keys.where(f"id >= {lo} AND id < {hi}").groupBy("h1", "h2").agg(F.min("id").alias("owner")), "keys")
+
+    with line_runs.sorted_buckets(spark):
+        for lo in (0, 1000):
+            runs.add(runs.unseen(stored(lo, lo + 1000)))
+        left = runs.unseen(stored(500, 2600))
+        text = left._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") == 2 and "Exchange" not in text and "Sort [" not in text
+        assert left.count() == 600
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+
+
 # ---- secrets ----
 
 def brute_base(text):
