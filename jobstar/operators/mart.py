@@ -22,12 +22,32 @@ def location_key() -> F.Column:
     return F.concat_ws("|", *folded_levels())
 
 
-def dim_company(stg: DataFrame) -> DataFrame:
-    """One row per non-null normalised name; byte-greatest display name."""
-    d = (stg.where(F.col("company_normalized").isNotNull())
-            .groupBy("company_normalized").agg(F.max("company_name").alias("company_name")))
-    return surrogate_key(d, ["company_normalized"], "company_id").select(
+def dim_company(stg: DataFrame, collation: str | None = None) -> DataFrame:
+    """One row per non-null normalised name; byte-greatest display name.
+
+    With a ``collation`` (such as ``UNICODE_CI_AI``) names that it takes as equal are one company, under
+    the byte-least of its normalised names; ``company_normalized`` then bears the collation, so a
+    lookup by it compares in the same way (``lookup_company``).
+    """
+    named = stg.where(F.col("company_normalized").isNotNull())
+    if collation is None:
+        d = named.groupBy("company_normalized").agg(F.max("company_name").alias("company_name"))
+    else:
+        d = (named.groupBy(F.collate("company_normalized", collation).alias("_same"))
+             .agg(F.max("company_name").alias("company_name"), F.min("company_normalized").alias("company_normalized"))
+             .select("company_name", "company_normalized"))
+    numbered = surrogate_key(d, ["company_normalized"], "company_id").select(
         "company_id", "company_name", "company_normalized")
+    if collation is None:
+        return numbered
+    return numbered.withColumn("company_normalized", F.collate("company_normalized", collation))
+
+
+def lookup_company(stg: DataFrame, company: DataFrame, collation: str) -> DataFrame:
+    """``job_id, company_id``: each posting's company under a collated dimension (NULL without a name)."""
+    postings = stg.select("job_id", F.collate("company_normalized", collation).alias("_name"))
+    same = postings["_name"] == F.collate(company["company_normalized"], collation)
+    return postings.join(company, same, "left").select("job_id", "company_id")
 
 
 def dim_location(stg: DataFrame) -> DataFrame:

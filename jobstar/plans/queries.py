@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import collapse_whitespace, contains_text
-from ..operators import mart, parity, quality, salary, skills, staging
+from ..operators import keysets, mart, parity, quality, salary, skills, staging
+from ..operators.dictionary import match_dictionary
 from ..operators.joins import with_totals
+from ..operators.repostings import reposting_groups
 from ..operators.upsert import upsert_raw
 from ..session import materialize, scratch_path
 from ..sources import landing
@@ -216,6 +218,55 @@ def q_fact_orphans(spark, sf):
                                       "date_id": s.dim_date, "category_id": s.dim_category})
 
 
+_ACCENTED = "CASE WHEN CAST(job_id AS BIGINT) % 3 = 0 THEN replace(company_normalized, 'o', 'ó') " \
+            "WHEN CAST(job_id AS BIGINT) % 3 = 1 THEN upper(company_normalized) ELSE company_normalized END"
+
+
+def _respelled(s: Star) -> DataFrame:
+    """Postings whose company names differ in case and accents."""
+    name, job = F.col("company_normalized"), F.col("job_id").cast("long")
+    return s.stg.select("job_id", "company_name", F.when(job % 3 == 0, F.replace(name, F.lit("o"), F.lit("ó")))
+                        .when(job % 3 == 1, F.upper(name)).otherwise(name).alias("company_normalized"))
+
+
+_CI_AI_SQL = O.with_ctes(*O.CHAIN_STG) + f"""
+ , named AS (SELECT job_id, company_name, {_ACCENTED} AS name FROM stg),
+ d AS (SELECT lower(strip_accents(name)) AS same, max(company_name) AS company_name, min(name) AS company_normalized
+       FROM named WHERE name IS NOT NULL GROUP BY 1),
+ dim AS (SELECT row_number() OVER (ORDER BY company_normalized) AS company_id, * FROM d)"""
+
+
+@register("dim_company_ci_ai", "W10", _CI_AI_SQL + " SELECT company_id, company_name, company_normalized FROM dim")
+def q_dim_company_ci_ai(spark, sf):
+    dim = mart.dim_company(_respelled(star_for(spark, sf)), "UNICODE_CI_AI")
+    return dim.withColumn("company_normalized", F.collate("company_normalized", "UTF8_BINARY"))
+
+
+@register("lookup_company_ci_ai", "W10+W14", _CI_AI_SQL + """
+ SELECT job_id, company_id FROM named LEFT JOIN dim ON lower(strip_accents(name)) = same""")
+def q_lookup_company_ci_ai(spark, sf):
+    postings = _respelled(star_for(spark, sf))
+    dim = materialize(mart.dim_company(postings, "UNICODE_CI_AI"), "dim_company_ci_ai")
+    return mart.lookup_company(postings, dim, "UNICODE_CI_AI")
+
+
+@register("orphan_key_counts", "W16", O.with_ctes(*O.CHAIN_STAR) + """
+ SELECT 'company_id' AS fk, (SELECT count(DISTINCT company_id) FROM fact WHERE company_id IS NOT NULL
+   AND company_id NOT IN (SELECT company_id FROM dim_company WHERE company_id % 5 > 0)) AS orphan_keys
+ UNION ALL SELECT 'location_id', (SELECT count(DISTINCT location_id) FROM fact WHERE location_id IS NOT NULL
+   AND location_id NOT IN (SELECT location_id FROM dim_location WHERE location_id % 5 > 0))
+ UNION ALL SELECT 'category_id', (SELECT count(DISTINCT category_id) FROM fact WHERE category_id IS NOT NULL
+   AND category_id NOT IN (SELECT category_id FROM dim_category))""")
+def q_orphan_key_counts(spark, sf):
+    """Keys of facts that dimensions lack: every fifth company and place is taken away, no category."""
+    s = star_for(spark, sf)
+    dims = {"company_id": s.dim_company.where("company_id % 5 > 0"), "location_id": s.dim_location.where("location_id % 5 > 0"),
+            "category_id": s.dim_category}
+    found = [keysets.orphan_key_count(keysets.key_bitmaps(s.fact, k), keysets.key_bitmaps(d, k)).select(
+        F.lit(k).alias("fk"), "orphan_keys") for k, d in dims.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -291,6 +342,39 @@ def q_fuzzy_dup_orders(spark, sf):
                                     ("o_custkey", "o_orderpriority", "o_orderstatus"), "o_orderdate", 7)
 
 
+def _reposting_sql(rows: str, keys: str, ident: str, day: str) -> str:
+    """Islands of days by a running count of gaps; ``keys`` are non-null in ``rows``."""
+    return f"""
+ g AS (SELECT *, CASE WHEN {day} - lag({day}) OVER w <= 7 THEN 0 ELSE 1 END AS opens
+       FROM {rows} WINDOW w AS (PARTITION BY {keys} ORDER BY {day}, {ident})),
+ isl AS (SELECT *, sum(opens) OVER (PARTITION BY {keys} ORDER BY {day}, {ident}) AS no FROM g)
+ SELECT * FROM (
+   SELECT {ident}, min({ident}) OVER p AS group_id, count(*) OVER p AS group_size,
+     min({day}) OVER p AS first_day, max({day}) OVER p AS last_day
+   FROM isl WINDOW p AS (PARTITION BY {keys}, no)) WHERE group_size > 1"""
+
+
+_TIGHT = "title_normalized, company_normalized, state, suburb"
+
+
+@register("reposting_groups", "W21", O.with_ctes(*O.CHAIN_STG) + f"""
+ , dated AS (SELECT job_id, {_TIGHT}, posted_date FROM stg
+   WHERE title_normalized IS NOT NULL AND company_normalized IS NOT NULL AND state IS NOT NULL
+     AND suburb IS NOT NULL AND posted_date IS NOT NULL),""" + _reposting_sql("dated", _TIGHT, "job_id", "posted_date"))
+def q_reposting_groups(spark, sf):
+    return reposting_groups(star_for(spark, sf).stg)
+
+
+@register("reposting_groups_orders", "W21", """
+ WITH dated AS (SELECT o_orderkey, o_orderpriority, o_orderstatus, o_custkey % 50 AS account,
+   CAST(o_orderdate AS DATE) AS d FROM orders
+   WHERE o_custkey IS NOT NULL AND o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL AND o_orderdate IS NOT NULL),
+""" + _reposting_sql("dated", "account, o_orderpriority, o_orderstatus", "o_orderkey", "d"))
+def q_reposting_groups_orders(spark, sf):
+    orders = Tables(spark, sf).orders.withColumn("account", F.col("o_custkey") % 50)
+    return reposting_groups(orders, ("account", "o_orderpriority", "o_orderstatus"), "o_orderdate", 7, "o_orderkey")
+
+
 @register("fuzzy_dup_loose", "W22", O.with_ctes(*O.CHAIN_STG) + """
  , g AS (SELECT count(*) AS n FROM stg WHERE title_normalized IS NOT NULL AND company_normalized IS NOT NULL
           AND state IS NOT NULL GROUP BY title_normalized, company_normalized, state)
@@ -403,6 +487,17 @@ def q_skill_limitation(spark, sf):
     return skills.skill_limitation(s.stg, s.bridge)
 
 
+@register("match_part_names", "W27", O.with_ctes(*O.CHAIN_STG) + """
+ , names AS (SELECT p_partkey, p_name, lower(p_name) AS low FROM part WHERE p_name IS NOT NULL),
+ texts AS (SELECT job_id, description_clean, lower(description_clean) AS low FROM stg WHERE description_clean IS NOT NULL)
+ SELECT t.job_id, n.p_partkey FROM texts t JOIN names n ON contains(t.low, n.low)
+ WHERE regexp_matches(t.low, '(^|[^a-z0-9])' || regexp_escape(n.low) || '([^a-z0-9]|$)')""")
+def q_match_part_names(spark, sf):
+    """Every part name, thousands of them, as the dictionary of the descriptions."""
+    parts = Tables(spark, sf).part.select("p_partkey", "p_name")
+    return match_dictionary(star_for(spark, sf).stg, "job_id", "description_clean", parts, "p_partkey", "p_name")
+
+
 # ---------------------------------------------------------------- events and documents (direct inputs)
 
 
@@ -480,6 +575,12 @@ def q_match_vocabulary_documents(spark, sf):
     return hits.join(terms.select("skill_id", "skill_name"), "skill_id").select("doc_id", "skill_name")
 
 
+@register("match_dictionary_documents", "W27", DOCS_SKILLS_SQL + " SELECT doc_id, skill_name FROM doc_skills")
+def q_match_dictionary_documents(spark, sf):
+    terms = spark.createDataFrame([(n, p) for n, _, p in DOCUMENT_TERMS], "skill_name string, literal string")
+    return match_dictionary(_clean_docs(spark, sf), "doc_id", "text_clean", terms, "skill_name").distinct()
+
+
 @register("document_profile", "W24+W32", DOCS_SKILLS_SQL + """
  SELECT count(*) AS total_docs, CAST(round(avg(length(text_clean)), 0) AS DOUBLE) AS avg_length,
    count(*) FILTER (WHERE contains(text_clean, '$')) AS with_dollar,
@@ -545,6 +646,22 @@ def q_copy_to_bronze(spark, sf):
     return landing.copy_table(star_for(spark, sf).raw, scratch_path(spark, "bronze"), "raw_jobs")
 
 
+@register("copy_check_damaged", "W34", O.with_ctes(*O.CHAIN_RAW) + """
+ SELECT 'whole' AS tbl, count(*) AS source_rows, count(*) AS copied_rows, 'MATCH' AS status FROM raw
+ UNION ALL SELECT 'changed', count(*), count(*), CASE WHEN count(title) = 0 THEN 'MATCH' ELSE 'MISMATCH' END FROM raw
+ UNION ALL SELECT 'short', count(*), count(*) FILTER (WHERE id % 97 <> 0),
+   CASE WHEN count(*) FILTER (WHERE id % 97 = 0) = 0 THEN 'MATCH' ELSE 'MISMATCH' END FROM raw""")
+def q_copy_check_damaged(spark, sf):
+    """A whole copy, one of as many rows with one title changed, and one that lacks rows."""
+    raw = star_for(spark, sf).raw
+    first = raw.where("title IS NOT NULL").agg(F.min("id").alias("_first"))
+    changed = raw.transform(with_totals, first).withColumn(
+        "title", F.when(F.col("id") == F.col("_first"), F.concat("title", F.lit("!"))).otherwise(F.col("title"))).drop("_first")
+    checks = [landing.copy_check(raw, copy, name) for name, copy in (
+        ("whole", raw.repartition(3)), ("changed", changed), ("short", raw.where("id % 97 <> 0")))]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+
+
 PARITY_TABLES = ["stg_jobs", "dim_company", "dim_location", "dim_date", "dim_category", "dim_skill",
                  "fact_job_postings", "bridge_job_skills"]
 
@@ -583,6 +700,23 @@ def q_parity_differences(spark, sf):
             .unionByName(parity.locate_differences(b, gone).withColumn("build", F.lit("gone"))))
 
 
+@register("parity_differences_by_leaf", "W35", O.with_ctes(*O.CHAIN_STG) + """
+ , a AS (SELECT job_id, salary_min_final, salary_max_final FROM stg),
+ b AS (SELECT job_id, CASE WHEN job_id = (SELECT min(job_id) FROM stg WHERE salary_min_final IS NOT NULL)
+   THEN salary_min_final + 1 ELSE salary_min_final END AS salary_min_final, salary_max_final FROM stg)
+ SELECT 'only_a' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+ UNION ALL SELECT 'only_b', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def q_parity_differences_by_leaf(spark, sf):
+    """Builds that differ in one row: one leaf of each is read."""
+    stg = star_for(spark, sf).stg.select("job_id", "salary_min_final", "salary_max_final")
+    first = stg.where("salary_min_final IS NOT NULL").agg(F.min("job_id").alias("_first"))
+    moved = stg.transform(with_totals, first).withColumn("salary_min_final", F.when(
+        F.col("job_id") == F.col("_first"), F.col("salary_min_final") + 1).otherwise(F.col("salary_min_final"))
+        .cast(stg.schema["salary_min_final"].dataType)).drop("_first")
+    a, b = (parity.store_leaves(df, ["job_id"], 64, name) for df, name in ((stg, "leaves-a"), (moved, "leaves-b")))
+    return parity.locate_differences_in_leaves(a, b)
+
+
 def _differing_builds(s: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
     lo, hi = F.col("salary_min_final"), F.col("salary_max_final")
     a = s.stg.select("job_id", lo, hi)
@@ -799,3 +933,61 @@ def q_location_drilldown(spark, sf):
  FROM fact WHERE search_term_count > 1 GROUP BY search_term_count""")
 def q_multi_definition_jobs(spark, sf):
     return R.multi_definition_jobs(star_for(spark, sf))
+
+
+# ---------------------------------------------------------------- windows from stored counts and key sets
+
+WINDOWS = [("1996", "1996-01-01", "1996-12-31"), ("1997", "1997-01-01", "1997-12-31"),
+           ("both", "1996-01-01", "1997-12-31"), ("all", "1900-01-01", "2099-12-31")]
+_WINDOWS_SQL = "win(name, lo, hi) AS (VALUES " + ", ".join(
+    f"('{n}', {lo.replace('-', '')}, {hi.replace('-', '')})" for n, lo, hi in WINDOWS) + ")"
+_IN_WINDOW = f"date_id BETWEEN {WIN_FROM.replace('-', '')} AND {WIN_TO.replace('-', '')}"
+
+
+@register("salary_stats_by_company_and_window", "R3", STAR_SQL + f"""
+ , {_WINDOWS_SQL}
+ SELECT win.name AS window, dc.company_name, count(*) AS n, CAST(round(avg(salary_avg), 0) AS DOUBLE) AS mean_salary,
+   round(quantile_cont(CAST(salary_avg AS DOUBLE), 0.5), 0) AS median_salary
+ FROM fact f JOIN win ON f.date_id BETWEEN lo AND hi JOIN dim_company dc ON dc.company_id = f.company_id
+ WHERE salary_avg IS NOT NULL GROUP BY win.name, dc.company_id, dc.company_name""")
+def q_salary_stats_by_company_and_window(spark, sf):
+    s = star_for(spark, sf)
+    return R.salary_stats_by_company_and_window(s, materialize(R.salary_counts(s), "salary-counts"), WINDOWS)
+
+
+@register("distinct_in_windows", "R2+R7", STAR_SQL + f"""
+ , {_WINDOWS_SQL}
+ SELECT win.name AS window, count(DISTINCT date_id) AS active_days, count(*) AS postings,
+   count(DISTINCT company_id) AS distinct_companies
+ FROM fact f JOIN win ON f.date_id BETWEEN lo AND hi GROUP BY win.name""")
+def q_distinct_in_windows(spark, sf):
+    s = star_for(spark, sf)
+    dated = s.fact.where("date_id IS NOT NULL")
+    days = materialize(dated.groupBy("date_id").agg(F.count(F.lit(1)).alias("n")), "postings-by-day")
+    companies = materialize(keysets.key_bitmaps(dated, "company_id", ("date_id",)), "companies-by-day")
+    return R.distinct_in_windows(days, companies, WINDOWS)
+
+
+@register("salary_stats_in_window", "R3", STAR_SQL + f"""
+ SELECT count(salary_avg) AS n, CAST(round(avg(salary_avg), 0) AS DOUBLE) AS mean_salary,
+   round(quantile_cont(CAST(salary_avg AS DOUBLE), 0.5), 0) AS median_salary,
+   {_pct_sql('count(salary_avg)', 'count(*)')} AS pct_with_salary FROM fact WHERE {_IN_WINDOW}""")
+def q_salary_stats_in_window(spark, sf):
+    return R.salary_stats(star_for(spark, sf), WIN_FROM, WIN_TO)
+
+
+@register("salary_histogram_in_window", "R4", STAR_SQL + f"""
+ , b AS (SELECT CAST({_LOWER_SQL} AS INTEGER) AS band_lower FROM fact WHERE salary_avg IS NOT NULL AND {_IN_WINDOW})
+ SELECT {_LABEL_SQL} AS band, band_lower, count(*) AS postings,
+   {_pct_sql('count(*)', '(SELECT count(*) FROM b)')} AS pct FROM b GROUP BY band_lower""")
+def q_salary_histogram_in_window(spark, sf):
+    return R.salary_histogram(star_for(spark, sf), WIN_FROM, WIN_TO)
+
+
+@register("category_share_in_window", "R11", STAR_SQL + f"""
+ , w AS (SELECT category_id FROM fact WHERE {_IN_WINDOW})
+ SELECT coalesce(dc.category_label, 'Unknown') AS category, count(*) AS postings,
+   {_pct_sql('count(*)', '(SELECT count(*) FROM w)')} AS pct
+ FROM w LEFT JOIN dim_category dc USING (category_id) GROUP BY coalesce(dc.category_label, 'Unknown')""")
+def q_category_share_in_window(spark, sf):
+    return R.category_share(star_for(spark, sf), WIN_FROM, WIN_TO)

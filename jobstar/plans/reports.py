@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators import keysets
 from ..operators.joins import with_totals
 from ..operators.mart import LOCATION_LEVELS
+from ..operators.ranges import grouped_quantile
 from ..operators.stats import exact_quantile
 from .pipeline import Star
 
@@ -67,9 +69,9 @@ def postings_by_company(s: Star, top: int = 10) -> DataFrame:
             .orderBy(F.col("postings").desc(), F.col("company_name")).limit(top))
 
 
-def salary_stats(s: Star) -> DataFrame:
-    """Mean, exact median, n and coverage among disclosed salaries."""
-    f = s.fact
+def salary_stats(s: Star, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Mean, exact median, n and coverage among disclosed salaries, between two dates."""
+    f = _facts_in_window(s, start, end)
     basic = f.agg(F.count(_one()).alias("total_jobs"), F.count("salary_avg").alias("n"),
                   F.round(F.avg("salary_avg"), 0).cast("double").alias("mean_salary"))
     med = exact_quantile(f, "salary_avg", 0.5).select(
@@ -78,6 +80,43 @@ def salary_stats(s: Star) -> DataFrame:
         "n", "mean_salary", "median_salary", _pct(F.col("n"), F.col("total_jobs")).alias("pct_with_salary"))
 
 
+def salary_counts(s: Star) -> DataFrame:
+    """``company_id, date_id, salary_avg, n``: how often a company posted a salary on a day. Stored once, the
+    counts of any days and companies add up."""
+    return (s.fact.where(F.col("salary_avg").isNotNull()).groupBy("company_id", "date_id", "salary_avg")
+            .agg(F.count(_one()).alias("n")))
+
+
+def salary_stats_by_company_and_window(s: Star, counts: DataFrame, windows: list[tuple[str, str, str]]) -> DataFrame:
+    """R3 per window (name, first and last date) and company: n, mean and exact median of disclosed
+    salaries, from ``salary_counts``; every group's ranks are found at once."""
+    inside = [F.when(F.col("date_id").between(int(lo.replace("-", "")), int(hi.replace("-", ""))), F.lit(name))
+              for name, lo, hi in windows]
+    named = counts.where(F.col("company_id").isNotNull()).withColumn("window", F.explode(F.array_compact(F.array(*inside))))
+    keys = ["window", "company_id"]
+    per_value = named.groupBy(*keys, "salary_avg").agg(F.sum("n").alias("n"))
+    mean = per_value.groupBy(*keys).agg(
+        F.round(F.sum(F.col("salary_avg") * F.col("n").cast("decimal(10,0)")) / F.sum("n"), 0).cast("double").alias("mean_salary"))
+    median = grouped_quantile(per_value, keys, "salary_avg", "n", 0.5, "median")
+    return (median.join(mean, keys).join(s.dim_company.select("company_id", "company_name"), "company_id")
+            .select("window", "company_name", F.col("median_n").alias("n"), "mean_salary",
+                    F.round("median", 0).alias("median_salary")))
+
+
+def distinct_in_windows(days: DataFrame, companies: DataFrame, windows: list[tuple[str, str, str]]) -> DataFrame:
+    """R2 and R7 per window from stored rows: active days, postings and distinct companies.
+
+    ``days`` has ``date_id, n`` (postings a day), ``companies`` the companies of each day as
+    ``keysets.key_bitmaps(fact, "company_id", ("date_id",))``.
+    """
+    inside = [F.when(F.col("date_id").between(int(lo.replace("-", "")), int(hi.replace("-", ""))), F.lit(name))
+              for name, lo, hi in windows]
+    window = F.explode(F.array_compact(F.array(*inside))).alias("window")
+    per = days.select(window, "n").groupBy("window").agg(F.count(_one()).alias("active_days"), F.sum("n").alias("postings"))
+    held = keysets.key_count(companies.select(window, "range", "keys"), "distinct_companies", ("window",))
+    return per.join(held, "window", "left").withColumn("distinct_companies", F.coalesce("distinct_companies", F.lit(0)))
+
+
 def band_label(c: Column, edges=SALARY_BAND_EDGES) -> tuple[Column, Column]:
     lower = F.lit(None).cast("int")
     for e in edges:
@@ -90,9 +129,9 @@ def band_label(c: Column, edges=SALARY_BAND_EDGES) -> tuple[Column, Column]:
     return lower, label
 
 
-def salary_histogram(s: Star) -> DataFrame:
-    """Postings per salary band (of postings with a salary)."""
-    f = s.fact.where(F.col("salary_avg").isNotNull())
+def salary_histogram(s: Star, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Postings per salary band (of postings with a salary) between two dates."""
+    f = _facts_in_window(s, start, end).where(F.col("salary_avg").isNotNull())
     lower, label = band_label(F.col("salary_avg"))
     per = f.groupBy(lower.alias("band_lower")).agg(F.count(_one()).alias("postings"))
     _, lab = band_label(F.col("band_lower"))
@@ -167,13 +206,14 @@ def skill_category_rollup(s: Star) -> DataFrame:
             .orderBy(F.col("mentions").desc(), "skill_category"))
 
 
-def category_share(s: Star) -> DataFrame:
-    """Percent of postings per job family (missing category as 'Unknown')."""
-    per = s.fact.groupBy("category_id").agg(F.count(_one()).alias("_n"))
+def category_share(s: Star, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Percent of the postings between two dates per job family (missing category as 'Unknown')."""
+    facts = _facts_in_window(s, start, end)
+    per = facts.groupBy("category_id").agg(F.count(_one()).alias("_n"))
     named = per.join(s.dim_category.select("category_id", "category_label"), "category_id", "left")
     out = named.groupBy(F.coalesce("category_label", F.lit("Unknown")).alias("category")).agg(
         F.sum("_n").alias("postings"))
-    return (out.transform(with_totals, _total(s.fact))
+    return (out.transform(with_totals, _total(facts))
             .select("category", "postings", _pct(F.col("postings"), F.col("_total")).alias("pct"))
             .orderBy(F.col("postings").desc(), "category"))
 
