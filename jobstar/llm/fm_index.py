@@ -30,6 +30,10 @@ BLOCK_WORDS = 1 << 21
 SAMPLE = 8
 
 
+def _named_first(name: str | None) -> tuple[bool, str]:
+    return name is None, name or ""
+
+
 class Phrases:
     """The distinct phrases of some items, as arrays of symbols from 1 on."""
 
@@ -37,7 +41,7 @@ class Phrases:
         seen: dict[bytes, int] = {}
         owners: list[set[int]] = []
         rows: list[np.ndarray] = []
-        self.item_ids = sorted({i for i, _ in items})
+        self.item_ids = sorted({i for i, _ in items}, key=_named_first)
         number = {i: n for n, i in enumerate(self.item_ids)}
         for item, text in items:
             words, _ = hash_words([text], ALNUM)
@@ -201,7 +205,7 @@ def _mark(texts: list[bytes], phrases: Phrases) -> list[tuple[int, list[tuple[in
         pairs = np.unique(np.stack((np.searchsorted(offsets, at, side="right") - 1, which)), axis=1)
         for d, w in pairs.T.tolist():
             items[d].update(phrases.owners[w].tolist())
-    return [(int(n), s, [phrases.item_ids[i] for i in sorted(i)])
+    return [(int(n), s, [phrases.item_ids[k] for k in sorted(i)])
             for n, s, i in zip(np.diff(offsets), spans, items)]
 
 
@@ -231,7 +235,7 @@ def _searcher(shared, text_col: str, p: str):
             rows = [{"words": n,
                      "spans": [{"begin": b, "end": e} for b, e in merge_spans(
                          [(x["begin"], x["end"]) for x in o[p + "spans"]], s)],
-                     "items": sorted({*o[p + "items"], *i})}
+                     "items": sorted({*o[p + "items"], *i}, key=_named_first)}
                     for (n, s, i), o in zip(found, old)]
             kept = [c for c in batch.schema.names if not c.startswith(p)]
             yield pa.RecordBatch.from_arrays(
@@ -248,7 +252,7 @@ def phrase_blocks(items: DataFrame, item_col: str = "item_id", text_col: str = "
     """Blocks of phrases of at most about ``BLOCK_WORDS`` words (or one longer item)."""
     held: list[tuple[str, bytes]] = []
     size = 0
-    rows = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string"), F.col(text_col))
+    rows = items.select(F.col(item_col).cast("string"), F.col(text_col))
     for item, text in rows.toLocalIterator():
         data = (text or "").encode()
         if held and size + len(data) > 6 * BLOCK_WORDS:
@@ -266,8 +270,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     Words are runs of ASCII letters, digits and code points over 0x7F, A-Z lower-cased. A word
     inside an occurrence of a phrase is hit. ``hit_spans`` are the merged spans ``(begin, end)``
     of word numbers from 0, end exclusive; ``hit_items`` the item identifiers as sorted strings.
-    A null or empty text has no words; an item without words or identifier has no phrases;
-    items that repeat an identifier count as one. Repeated rows get equal results. Input
+    A null or empty text has no words; an item without words has no phrases;
+    items that repeat an identifier count as one. Items without identifier hit words like
+    others; together they are one more item in ``n_items``, without a name in ``hit_items``. Repeated rows get equal results. Input
     columns named like added ones are replaced. An empty table gives an empty result.
     """
     small_batches(docs)
@@ -288,4 +293,4 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     hits = F.aggregate(p + "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return result.select(*own, F.col(p + "words").alias("n_words"), hits.alias("n_hit"),
                          F.size(p + "items").cast("long").alias("n_items"),
-                         F.col(p + "items").alias("hit_items"), F.col(p + "spans").alias("hit_spans"))
+                         F.array_compact(p + "items").alias("hit_items"), F.col(p + "spans").alias("hit_spans"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import BLANK_WORD, tmp_name
+from .common import BLANK_WORD, numbered, tmp_name
 
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 SHARE = 1.5
@@ -64,14 +64,15 @@ def pareto_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``size`` counts the words of the text (null: 0), ``copies`` is how often the document is
     taken (0 to ``max_copies``) and ``taken`` the words. A null source is a source of its own,
-    the last. Rows that repeat an identifier draw the same number and are taken alike, so
-    reruns agree. ``weight`` (positive, null: 1) raises a document's odds inside its source.
+    the last. A row draws its number from identifier and text, and from its place among the rows that
+    repeat both, so reruns agree and neither copies nor rows without identifier go in lockstep. ``weight`` (positive, null: 1) raises a document's odds inside its source.
     A source without words has target 0, and its documents are taken 0 times.
     Input columns named like added ones are replaced. An empty table gives an empty result.
     """
     p = tmp_name(docs)
     own = [c for c in docs.columns if c not in ADDED]
-    draw = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+    draw = F.xxhash64(F.col(id_col).cast("string"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(seed))
+    docs, draw = _apart(docs, draw, p)
     keyed = docs.select(*own, word_count(F.col(text_col)).alias("size"),
                         draw.alias(p + "draw"), F.coalesce(weight if weight is not None else F.lit(1.0), F.lit(1.0)).cast("double").alias(p + "w"))
     thin = materialize(keyed.select(F.col(source_col).alias("source"), F.col(p + "draw").alias("draw"), F.col(p + "w").alias("w"), "size"), "mix-sizes")
@@ -88,6 +89,23 @@ def pareto_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     (F.col("size") * F.col("copies")).cast("long").alias("taken")))
 
 
+def _apart(docs: DataFrame, draw: Column, p: str) -> tuple[DataFrame, Column]:
+    """``docs`` and a draw that differs between rows of equal ``draw``.
+
+    Where some rows repeat, the table is written once with a row number, and the repeats, however
+    many, are numbered through without gaps; the numbers' multiset doesn't depend on the rows' order.
+    """
+    draws = docs.select(draw.alias(p + "draw"))
+    if draws.groupBy(p + "draw").count().where("count > 1").isEmpty():
+        return docs, draw
+    docs = materialize(docs.withColumns({p + "draw": draw, p + "row": F.monotonically_increasing_id()}), "mix-rows")
+    often = docs.groupBy(p + "draw").count().where("count > 1").select(F.col(p + "draw").alias(p + "of"))
+    repeats = docs.select(p + "draw", p + "row").join(often, F.col(p + "draw") == F.col(p + "of"), "left_semi")
+    places = numbered(repeats, p + "draw", [p + "row"], p + "place").select(F.col(p + "row").alias(p + "at"), p + "place")
+    docs = docs.join(places.where(F.col(p + "place") > 0), F.col(p + "row") == F.col(p + "at"), "left")
+    return docs, F.when(F.col(p + "place").isNull(), F.col(p + "draw")).otherwise(F.xxhash64(p + "draw", p + "place"))
+
+
 def _whole_and_rank(draw: Column, w: Column, size: Column, max_copies: int) -> tuple[Column, Column]:
     """Certain copies, and the Pareto rank as an integer of ``RANK_BITS`` bits in odds order."""
     expected = F.least(F.lit(float(max_copies)),

@@ -42,7 +42,7 @@ OP2_SQL = f"""
 WITH doc AS (
     SELECT doc_id, {_WORDS.format(_FOLDED.format("text"))} AS w FROM documents),
 item AS (
-    SELECT item_id, {_WORDS.format(_FOLDED.format("text"))} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    SELECT item_id, {_WORDS.format(_FOLDED.format("text"))} AS w FROM benchmark),
 phrase AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p
     FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)),

@@ -12,6 +12,8 @@ range exchange, so a conversation may hold any share of the rows.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
@@ -22,6 +24,9 @@ _TYPES = {"string": ["STRING"], "integer": ["BIGINT", "INT", "SMALLINT", "TINYIN
           "number": ["BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL", "DOUBLE", "FLOAT"],
           "boolean": ["BOOLEAN"], "object": ["OBJECT"], "array": ["ARRAY"]}
 
+# Longer arguments may be valid JSON that the parser doesn't take (it ends at 20 million characters a string).
+LONGEST = 15_000_000
+
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
 
@@ -36,7 +41,8 @@ def argument_errors(name: Column, arguments: Column, parsed: Column, schemas: Sc
     kind = F.schema_of_variant(parsed)
     known = F.array(*[F.lit(t) for t in schemas]).cast("array<string>")
     checks = [F.when(~F.coalesce(F.array_contains(known, name), F.lit(False)), F.lit("unknown tool")),
-              F.when(parsed.isNull(), "arguments are not JSON")
+              F.when(parsed.isNull() & (F.length(arguments) > LONGEST), "arguments are too long to parse")
+              .when(parsed.isNull(), "arguments are not JSON")
               .when(~kind.startswith("OBJECT"), "arguments are not an object")]
     keys = F.coalesce(F.json_object_keys(arguments), F.array().cast("array<string>"))
     is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
@@ -58,11 +64,12 @@ def argument_errors(name: Column, arguments: Column, parsed: Column, schemas: Sc
     return F.concat(F.filter(F.array(*checks), lambda e: e.isNotNull()), unknown)
 
 
-def call_levels(calls: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def call_levels(calls: DataFrame) -> DataFrame:
     """``conv, id, level``: 0 without dependencies, else one more than the deepest of them.
 
     ``calls`` has ``conv, id, needs`` (an array of identifiers in the same conversation).
     Dependencies on calls that don't exist are ignored. Calls in or behind a circle get no row.
+    There are as many rounds as the longest chain has calls.
     """
     ids = calls.select("conv", "id")
     edges = (calls.select("conv", "id", F.explode(F.array_distinct("needs")).alias("need")).where("need is not null")
@@ -71,7 +78,7 @@ def call_levels(calls: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     done = materialize(ids.join(edges.select("conv", "id"), ["conv", "id"], "left_anti")
                        .withColumn("level", F.lit(0)), "call-levels")
     levels = [done]
-    for level in range(1, max_rounds):
+    for level in count(1):
         # Of the edges left, those whose need has just been settled go; calls without others are next.
         if edges.isEmpty():
             break
@@ -90,62 +97,72 @@ def call_levels(calls: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     return out
 
 
+def described(calls: DataFrame, schemas: Schemas) -> DataFrame:
+    """``calls`` (with ``content``) and their ``errors, canonical``."""
+    both = calls.withColumn("parsed", F.try_parse_json("arguments"))
+    both = both.withColumn("errors", argument_errors(F.col("name"), F.col("arguments"), F.col("parsed"), schemas))
+    needs = F.array_sort(F.filter(F.array_distinct(F.coalesce("needs", F.array().cast("array<string>"))), lambda x: x.isNotNull()))
+    raw = F.when(F.col("parsed").isNull() & (F.length("arguments") > LONGEST),
+                 F.concat(F.lit(',"arguments_text":'), json_string(F.col("arguments")))).otherwise("")
+    return both.withColumn("canonical", F.concat(
+        F.lit('{"arguments":'), F.coalesce(F.to_json("parsed"), F.lit("null")), raw,
+        F.lit(',"id":'), json_string(F.col("id")), F.lit(',"name":'), json_string(F.col("name")),
+        F.lit(',"needs":'), F.to_json(needs), F.lit(',"result":'), json_string(F.col("content")), F.lit("}"))).drop("parsed")
+
+
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """A row per call and per result without call:
+    """A row per call and per result that isn't a call's answer:
     ``conv, id, kind, position, level, valid, errors, canonical``.
 
     ``calls`` has ``conv, id, turn, name, arguments`` (JSON text) and ``needs`` (identifiers),
-    ``results`` has ``conv, id, turn, content``. Of calls (or results) that repeat an identifier
-    in a conversation the first by turn, then by content, counts and the others are left out.
-    A result that stands before its call is no result of it.
-
-    ``kind`` is ``linked``, ``unanswered``, ``circular`` (its dependencies can't be met) or
-    ``orphan`` (a result without a call; only ``conv, id, kind, canonical`` are set).
-    ``position`` counts a conversation's calls from 0 by level, turn and identifier, circular
-    ones last. ``valid`` says that ``errors`` is empty. ``canonical`` is JSON with sorted keys
-    and no blanks; arguments that aren't JSON (or exceed a variant's size) are given as null.
+    ``results`` has ``conv, id, turn, content``; other columns are ignored. Of calls that repeat an
+    identifier in a conversation the first by turn, then by content, counts. Its answer is the
+    first result, by turn, then by content, that doesn't stand before it (a null turn never does).
+
+    ``kind`` is ``linked``, ``unanswered``, ``circular`` (its dependencies can't be met),
+    ``orphan`` (a result without a call, or before it) or ``duplicate`` (a call that repeats an
+    identifier, or a further result). ``position`` counts a conversation's calls from 0 by level, turn
+    and identifier, circular ones last; duplicates have none, and no level. ``valid`` says that
+    ``errors`` is empty; results have neither. ``canonical`` is JSON with sorted keys and no blanks;
+    arguments that aren't JSON are given as null, arguments too long for the parser as null beside
+    their text as ``arguments_text``, with an error of its own.
     A null conversation or identifier links with nothing: it is unanswered, or an orphan.
+    Repeated rows each get a row. Empty tables give an empty result.
     """
-    first_call = (calls.where("conv is not null and id is not null").groupBy("conv", "id")
-                  .agg(F.min(F.struct("turn", "name", "arguments", "needs")).alias("c")).select("conv", "id", "c.*"))
-    lone_call = calls.where("conv is null or id is null").select(*first_call.columns)
-    first_result = (results.where("conv is not null and id is not null").groupBy("conv", "id")
-                    .agg(F.min(F.struct("turn", "content")).alias("r"))
-                    .select("conv", "id", F.col("r.turn").alias("answered"), "r.content"))
-    lone_result = results.where("conv is null or id is null").select(
-        "conv", "id", F.col("turn").alias("answered"), "content")
-    first_call = materialize(first_call, "calls")
+    named = "conv is not null and id is not null"
+    calls = materialize(calls.select("conv", "id", "turn", "name", "arguments", "needs",
+                                     F.monotonically_increasing_id().alias("m")), "calls")
+    results = materialize(results.select("conv", "id", "turn", "content", F.monotonically_increasing_id().alias("m")), "results")
+    cols = ["conv", "id", "turn", "name", "arguments", "needs"]
+    first_call = materialize(calls.where(named).groupBy("conv", "id")
+                             .agg(F.min(F.struct("turn", "name", "arguments", "needs", "m")).alias("c"))
+                             .select("conv", "id", "c.*"), "first-calls")
+    repeated = calls.where(named).join(first_call.select("m"), "m", "left_anti").select(*cols)
+    called = first_call.select("conv", "id", F.col("turn").alias("called"), F.lit(True).alias("known"))
+    early = F.coalesce(F.col("turn") < F.col("called"), F.lit(False))
+    answer = materialize(results.where(named).join(called, ["conv", "id"]).where(~early).groupBy("conv", "id")
+                         .agg(F.min(F.struct("turn", "content", "m")).alias("r"))
+                         .select("conv", "id", F.col("r.m").alias("m"), F.col("r.content").alias("content")), "answers")
     levels = call_levels(first_call.select("conv", "id", "needs"))
-    both = (first_call.unionByName(lone_call)
-            .join(first_result, ["conv", "id"], "left")
+    both = (first_call.select(*cols).unionByName(calls.where(f"not ({named})").select(*cols))
+            .join(answer.withColumnRenamed("m", "answered"), ["conv", "id"], "left")
             .join(levels, ["conv", "id"], "left"))
-    early = F.coalesce(F.col("answered") < F.col("turn"), F.lit(False))
     lone = F.col("conv").isNull() | F.col("id").isNull()
-    both = both.withColumn("content", F.when(~early, F.col("content"))).withColumn(
-        "answered", F.when(~early, F.col("answered")))
     kind = (F.when(~lone & F.col("level").isNull(), "circular")
-            .when(F.col("answered").isNotNull() | F.col("content").isNotNull(), "linked").otherwise("unanswered"))
-    parsed = F.try_parse_json("arguments")
-    both = both.withColumn("kind", kind).withColumn("parsed", parsed)
-    both = both.withColumn("errors", argument_errors(F.col("name"), F.col("arguments"), F.col("parsed"), schemas))
-    needs = F.array_sort(F.filter(F.array_distinct(F.coalesce("needs", F.array().cast("array<string>"))), lambda x: x.isNotNull()))
-    canonical = F.concat(F.lit('{"arguments":'), F.coalesce(F.to_json("parsed"), F.lit("null")),
-                         F.lit(',"id":'), json_string(F.col("id")), F.lit(',"name":'), json_string(F.col("name")),
-                         F.lit(',"needs":'), F.to_json(needs), F.lit(',"result":'), json_string(F.col("content")),
-                         F.lit("}"))
-    both = both.withColumn("deep", F.coalesce("level", F.lit(2 ** 31 - 1)))
+            .when(F.col("answered").isNotNull(), "linked").otherwise("unanswered"))
+    both = described(both, schemas).withColumn("kind", kind).withColumn("deep", F.coalesce("level", F.lit(2 ** 31 - 1)))
     rows = both.select("conv", "id", "turn", "deep", "kind", F.col("level").cast("long").alias("level"),
-                       (F.size("errors") == 0).alias("valid"), "errors", canonical.alias("canonical"))
+                       (F.size("errors") == 0).alias("valid"), "errors", "canonical")
     placed = numbered(rows, "conv", ["deep", "turn", "id"], "position").drop("turn", "deep")
-    called = first_call.select("conv", "id", F.col("turn").alias("called"))
-    orphans = (first_result.join(called, ["conv", "id"], "left")
-               .where("called is null or answered < called").drop("called")
-               .unionByName(lone_result)
-               .select("conv", "id", F.lit("orphan").alias("kind"),
-                       F.concat(F.lit('{"id":'), json_string(F.col("id")), F.lit(',"result":'),
-                                json_string(F.col("content")), F.lit("}")).alias("canonical")))
+    again = described(repeated.withColumn("content", F.lit(None).cast("string")), schemas).select(
+        "conv", "id", F.lit("duplicate").alias("kind"), (F.size("errors") == 0).alias("valid"), "errors", "canonical")
+    rest = (results.join(answer.select("m"), "m", "left_anti").join(called, ["conv", "id"], "left")
+            .select("conv", "id", F.when(F.coalesce("known", F.lit(False)) & ~early, "duplicate").otherwise("orphan").alias("kind"),
+                    F.concat(F.lit('{"id":'), json_string(F.col("id")), F.lit(',"result":'),
+                             json_string(F.col("content")), F.lit("}")).alias("canonical")))
     out = ["conv", "id", "kind", "position", "level", "valid", "errors", "canonical"]
-    return placed.select(*out).unionByName(orphans, allowMissingColumns=True).select(*out)
+    return (placed.select(*out).unionByName(again, allowMissingColumns=True)
+            .unionByName(rest, allowMissingColumns=True).select(*out))
 
 
 # ---- calls and results in plain conversations ----

@@ -3,11 +3,13 @@
 import gzip
 import json
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
@@ -53,6 +55,31 @@ def test_shard_edge_cases(spark):
     assert empty.count() == 0 and "slot" in empty.columns
 
 
+def test_identical_rows_are_cut(spark):
+    """Half the table is one row repeated, with and without identifier."""
+    for ident in (7, None):
+        rows = [(ident, "the same row" * 3, "s")] * 2000 + [(i, f"{i} words", "s") for i in range(2000)]
+        got = histogram_sort_shards(frame(spark, rows).repartition(5), shards=40).toPandas()
+        sizes = got.groupby("shard")["size"].sum()
+        mean = sizes.sum() / 40
+        assert len(sizes) == 40 and len(got) == 4000
+        assert (abs(sizes - mean) <= 2 * (histogram_sort.TOLERANCE * mean + got["size"].max())).all()
+        for _, g in got.groupby("shard"):
+            assert sorted(g.slot) == list(range(len(g)))
+
+
+def test_shards_follow_the_law_of_a_whole_sort(spark):
+    """A brute-force cut of the sorted rows at each multiple of the mean, within the tolerance of the probes."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, i]), rng.choice([None, "", "copy " * 30, "x" * rng.randrange(900)]), "s") for i in range(1500)]
+    got = histogram_sort_shards(frame(spark, rows).repartition(4), shards=9).toPandas()
+    got = got.sort_values(["shard", "slot"])
+    ends = got["size"].cumsum()
+    total, slack = got["size"].sum(), histogram_sort.TOLERANCE * got["size"].sum() / 9 + got["size"].max()
+    for i in range(1, 9):
+        assert abs(ends[got.shard < i].max() - total * i / 9) <= slack
+
+
 # ---- mixing ----
 
 def filled(sizes, weights, share, cap):
@@ -102,9 +129,31 @@ def test_mix_comes_near_its_targets(spark):
     assert pareto_copies(frame(spark, [])).count() == 0
 
 
-def test_weights_raise_the_odds(spark):
-    from pyspark.sql import functions as F
+def test_rows_without_identifier_or_repeated_draw_on_their_own(spark):
+    for rows in ([(None, "w " * 10 + str(i), "a") for i in range(2000)], [(5, "w " * 11, "a")] * 2000, [(None, "w " * 11, "a")] * 2000):
+        rows = rows + [(i, "v " * 11, "b") for i in range(10_000, 12_000)]
+        got = pareto_copies(frame(spark, rows).repartition(6)).toPandas()
+        assert len(got) == len(rows)
+        for _, g in got.groupby("source"):
+            assert abs(g.taken.sum() - g.target.iloc[0]) <= 11
+        again = pareto_copies(frame(spark, rows).repartition(3)).toPandas()
+        assert Counter(zip(got.doc_id.fillna(-1), got.text, got.taken)) == Counter(zip(again.doc_id.fillna(-1), again.text, again.taken))
+
+
+def test_the_cut_is_that_of_sorted_odds(spark):
+    """Brute force: sort a source's fractional copies by odds, take from the least until the words are nearest."""
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randrange(1, 9), rng.choice("abc")) for i in range(900)]
+    got = pareto_copies(frame(spark, rows)).toPandas()
+    for _, g in got.groupby("source"):
+        share = g.target.iloc[0] / g.source_size.iloc[0]
+        extra = g.copies - int(share)
+        assert extra.isin([0, 1]).all()
+        words = (g["size"] * g.copies).sum()
+        assert abs(words - g.target.iloc[0]) <= g["size"].max() / 2 + 1
+
 
+def test_weights_raise_the_odds(spark):
     rows = [(i, "w " * 10, "ab"[i % 2]) for i in range(2000)]
     got = pareto_copies(frame(spark, rows).withColumn("q", F.when(F.col("doc_id") % 4 < 2, 3.0).otherwise(1.0)), weight=F.col("q"), share=0.5).toPandas()
     taken = got.groupby(got.doc_id % 4 < 2).taken.sum()
@@ -186,7 +235,9 @@ def test_tool_links_edge_cases(spark):
     results = [("c", "a", 2, "ok"), ("c", "a", 8, "late"), ("c", "b", 1, "too early"), ("c", "d", 4, None), ("k", "a", 1, 'quote " \n'), (None, "a", 2, "lost")]
     rows = link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), CHAT_SCHEMAS).collect()
     got = {(r["conv"], r["id"], r["kind"]): r for r in rows}
-    assert len(rows) == len(got) == 13
+    assert len(rows) == 15 and len(got) == 14  # the call a at turn 9 and its late result are both duplicates
+    assert sorted(r["canonical"] for r in rows if r["kind"] == "duplicate") == [
+        '{"arguments":{},"id":"a","name":"search","needs":["d"],"result":null}', '{"id":"a","result":"late"}']
     placed = [r["id"] for r in sorted((r for r in rows if r["conv"] == "c" and r["position"] is not None), key=lambda r: r["position"])]
     assert placed == ["a", "b", "d", "x", "y", "z"]
     assert got["c", "a", "linked"]["canonical"] == ('{"arguments":{"filters":{"a":[1,2],"b":1},"limit":3,"query":"qé"},"id":"a",'
@@ -204,6 +255,26 @@ def test_tool_links_edge_cases(spark):
     assert none.count() == 0
 
 
+def test_every_call_and_result_has_a_row(spark):
+    """The first result at or after its call answers it; what else bears the identifier isn't dropped."""
+    calls = [("c", "a", 3, "search", "{}", []), ("c", "a", 4, "search", "{}", [])]
+    results = [("c", "a", 1, "too early"), ("c", "a", 4, "right"), ("c", "a", 5, "later"), ("c", "a", 4, "right")]
+    rows = link_tool_calls(spark.createDataFrame(calls, CALLS).withColumn("called", F.lit(1)),
+                           spark.createDataFrame(results, RESULTS).withColumn("known", F.lit(1)), CHAT_SCHEMAS).collect()
+    got = Counter((r["kind"], json.loads(r["canonical"])["result"]) for r in rows)
+    assert got == Counter([("linked", "right"), ("duplicate", None), ("orphan", "too early"), ("duplicate", "later"), ("duplicate", "right")])
+    assert [r["position"] for r in rows if r["kind"] == "linked"] == [0]
+
+
+def test_long_arguments_keep_their_text(spark):
+    calls = spark.range(1).select(F.lit("c").alias("conv"), F.lit("a").alias("id"), F.lit(1).cast("long").alias("turn"), F.lit("summarise").alias("name"),
+                                  F.concat(F.lit('{"text":"'), F.repeat(F.lit("x"), 20_100_000), F.lit('"}')).alias("arguments"),
+                                  F.array().cast("array<string>").alias("needs"))
+    linked = link_tool_calls(calls, spark.createDataFrame([], RESULTS), CHAT_SCHEMAS)
+    row = linked.select("errors", F.length("canonical").alias("n"), F.instr("canonical", '"arguments_text":"{').alias("at")).first()
+    assert row["errors"] == ["arguments are too long to parse"] and row["n"] > 20_100_000 and row["at"] > 0
+
+
 def test_chat_calls_against_brute_force(spark):
     conversations = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
     calls, results = chat_calls(conversations)
@@ -284,8 +355,6 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "ngram_jaccard", "decontamination", "mixing", "sharding"]
-    from pyspark.sql import functions as F
-
     extra = docs.withColumn("score", F.lit("x")).withColumn("n_hit", F.lit("y")).withColumn("size", F.lit("z"))
     before = docs.count()
     for name, stage in corpus_pipeline.STAGES[:4]:
@@ -298,3 +367,74 @@ def test_pipeline_stages(spark):
     assert last.count() == before and {"shard", "slot"} <= set(last.columns)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+STAGE_DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, hit_spans string"
+
+
+def test_stages_on_nulls_repeats_and_long_texts(spark):
+    """Each stage on rows without identifier or text, repeated rows, and identifiers that name two texts."""
+    folder = "/root/testdata/sf0.01"
+    long = " ".join(f"word{i}" for i in range(40_000))
+    texts = [None, "", "   ", "one two three four five six seven", long, long + " end", "quite another text that stands alone here"]
+    rows = [(i, t, None, s, None, "x", "y") for t in texts for i in (None, 1, 2) for s in (None, "s")]
+    docs = spark.createDataFrame(rows + rows[:4], STAGE_DOCS).repartition(4)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert set(STAGE_DOCS.split()[::2]) <= set(out.columns)
+        n = out.count()
+        if name == "ngram_jaccard":
+            # The long texts are near duplicates; texts without words have none and all stay.
+            assert n == len([r for r in rows + rows[:4] if not (r[1] or "").strip()]) + 3
+        if name == "sharding":
+            assert n == docs.count()
+        assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_jaccard_judges_rows_and_not_identifiers(spark):
+    copy = "the same text of more than five words in several rows"
+    unique = "a text of its own that nobody else has at all"
+    rows = [(1, copy), (5, copy), (5, unique), (None, copy), (None, copy), (None, "another one without an identifier of its own kind"),
+            (None, "two rows without identifiers share this long text"), (None, "two rows without identifiers share this long text")]
+    docs = spark.createDataFrame([(i, t, "l", "s", 1, "x", "y") for i, t in rows], STAGE_DOCS).repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.jaccard(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, copy), (5, unique), rows[5], rows[6]], key=str)
+
+
+def shingled(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def test_jaccard_and_decontamination_against_brute_force(spark):
+    folder = SF_SMALL
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = sorted(docs.collect(), key=lambda r: r.doc_id)
+    sets, label = [shingled(r.text) for r in rows], list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                label[b] = a
+    want = {rows[i].doc_id for i in range(len(rows)) if find(i) == i}
+    kept = corpus_pipeline.materialize(corpus_pipeline.jaccard(spark, docs, folder), "kept")
+    assert {r.doc_id for r in kept.collect()} == want and kept.count() == len(want)
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower() if (text or "").isascii() else (text or "").translate(
+            str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+    windows = set()
+    for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect():
+        w = words(r.text)
+        windows |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    sizes = {len(w) for w in windows}
+    clean = {r.doc_id for r in kept.collect() if not any(
+        tuple(words(r.text)[i:i + n]) in windows for n in sizes for i in range(len(words(r.text)) - n + 1))}
+    assert {r.doc_id for r in corpus_pipeline.decontamination(spark, kept, folder).collect()} == clean

@@ -202,7 +202,7 @@ def test_contamination_edge_cases(spark, monkeypatch):
     rows = [(1, passage.upper()), (1, passage.upper()), (2, None), (3, ""), (None, "x " + passage), (4, "short ITEM here"),
             (5, "w " * 300_000 + passage), (6, " ".join(f"q{i}" for i in range(9)))]
     items = spark.createDataFrame([(7, passage), (7, "short item"), (8, None), (9, " ,; "), (None, "w w")], "item_id long, text string")
-    want = {(1, 12, 12, "7"), (2, 0, 0, ""), (3, 0, 0, ""), (None, 13, 12, "7"), (4, 3, 2, "7"), (5, 300_012, 12, "7"), (6, 9, 0, "")}
+    want = {(1, 12, 12, "7"), (2, 0, 0, ""), (3, 0, 0, ""), (None, 13, 12, "7"), (4, 3, 2, "7"), (5, 300_012, 300_012, "7"), (6, 9, 0, "")}  # "w w" has no identifier and hits all the same
     for words in (fm_index.BLOCK_WORDS, 1):  # the second: each item in a block of its own
         monkeypatch.setattr(fm_index, "BLOCK_WORDS", words)
         got = find_contamination(frame(spark, rows), items).select("doc_id", "n_words", "n_hit", "hit_items", "n_items", "source").collect()
@@ -295,6 +295,20 @@ def test_line_runs_are_merged_as_they_lie(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
 
 
+def test_components_never_end_short(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError, match="rounds"):
+        ngram_join.connected(chain, max_rounds=2)
+
+
+def test_items_without_identifier_hit_words(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(None, text), (None, "twelve words here"), ("b", text[:40])], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "so " + text), (2, "twelve words here"), (3, "clean"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.hit_items) for r in find_contamination(docs, items).collect()}
+    assert got == {1: (11, 2, ["b"]), 2: (3, 1, []), 3: (0, 0, []), 4: (0, 0, [])}
+
+
 # ---- secrets ----
 
 def brute_base(text):
