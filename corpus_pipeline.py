@@ -21,7 +21,11 @@ from jobstar.sources.tables import read_table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model predicts to be toxic go."""
+    """Documents that the model predicts to be toxic go.
+
+    Each row is judged by its text alone (null counts as empty); repeated rows and rows without
+    identifier are judged alike. Without labels nothing is rejected; an empty table stays empty.
+    """
     ensure_checkpoint_dir(spark)
     model = fit_model(docs, read_table(spark, sf_dir, "labels"))
     p = tmp_name(docs)
@@ -31,20 +35,33 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least identifier stays.
+    """Of each group of near duplicates one row stays, that of the least identifier.
 
-    Documents without identifier that are alone in their group stay; rows that repeat the
-    staying document's identifier stay as they are.
+    Decisions are made for rows, not for identifiers: rows that repeat an identifier with different
+    texts are judged on their own, exact repeats of a row are copies of each other, and rows
+    without identifier come after all others of their group, so one of them stays only where none has
+    an identifier. Null and empty texts have no near duplicates and stay. Other columns are kept as they are; an
+    empty table stays empty.
     """
     ensure_checkpoint_dir(spark)
     p = tmp_name(docs)
-    gone = (ngram_components(docs.select("doc_id", "text")).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias(p)).distinct())
-    return docs.join(gone, docs["doc_id"] == gone[p], "left_anti")
+    # Written with a row number, which names the rows in the join and in what follows from it.
+    docs = materialize(docs.withColumn(p, F.monotonically_increasing_id()), "jaccard-rows")
+    group = ngram_components(docs.select(F.col(p).alias("row"), "text"), "row").select(
+        F.col("row").alias(p + "at"), F.col("component_id").alias(p + "group"))
+    ranked = docs.select(p, F.col("doc_id").isNull().alias(p + "null"), F.col("doc_id").alias(p + "id"))
+    ranked = ranked.join(group, F.col(p) == F.col(p + "at"))
+    stay = (ranked.groupBy(p + "group").agg(F.min(F.struct(p + "null", p + "id", p)).alias("first"))
+            .select(F.col(f"first.{p}").alias(p + "stay")))
+    return docs.join(stay, F.col(p) == F.col(p + "stay"), "left_semi").drop(p)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go."""
+    """Documents that hold a passage of a benchmark item go.
+
+    Each row is judged by its text alone: one without words stays, repeated rows share their fate.
+    Items without identifier count like others. An empty table stays empty.
+    """
     ensure_checkpoint_dir(spark)
     p = tmp_name(docs)
     added = ("n_words", "n_hit", "n_items", "hit_items", "hit_spans")
@@ -54,13 +71,21 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source near its target of words; a document is repeated as often as it is taken."""
+    """Every source near its target of words; a document is repeated as often as it is taken.
+
+    Rows without words are never taken. A null source is one of its own; repeated rows and rows
+    without identifier draw on their own. An empty table stays empty.
+    """
     ensure_checkpoint_dir(spark)
     return mix(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' columns with shard and slot; 40 shards of near equal bytes."""
+    """The documents' columns with shard and slot; 40 shards of near equal bytes.
+
+    Every row gets a place, rows without text or identifier and repeated rows as well, however many
+    are alike. Columns named like added ones are replaced. An empty table stays empty.
+    """
     ensure_checkpoint_dir(spark)
     return histogram_sort_shards(docs, shards=40)
 
