@@ -4,17 +4,19 @@ The guess cost of a value is the least number of guesses (in bits) over all ways
 into words, dates, repeats, keyboard walks and characters guessed one by one. It is found by
 dynamic programming over the value's places. Every end of a walk (from three characters on) and
 every whole number of repetitions is tried, beside the words and dates of bounded length; the
-unit of a repeat has at most ``_MAX_UNIT`` characters, and words are those of ``COMMON_WORDS``.
+unit of a repeat has at most ``_MAX_UNIT`` characters. Words are those of ``COMMON_WORDS`` and the
+most frequent ones of the corpus, by the number of documents that hold them: a guesser tries them
+in that order, so the bits of a word are those of its rank.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from math import log2
+from math import inf, log2
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import small_batches
 
@@ -27,12 +29,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so this is [0-9a-f]+ wit
 KINDS = ("assign", "access", "hex", "guess")
 
 # Where a credential's value stands, beyond the base keywords.
-CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|api_?key|private_?key|access_?key)"""
-                     r"""["']?[\x20\t]*(?::|=|\bis\b)[\x20\t]*["']?([^\s"'<>,;]+)""", _LETTERS)
+CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|api_?key|private_?key|access_?key)"""
+                     r"""["']?[\x20\t]*(?::|=|\bis\b(?=\s+\S*\d))[\x20\t]*["']?([^\s"'<>,;]+)""", _LETTERS)
 CONTEXT_HINT = ("pass", "pwd", "secret", "token", "credential", "auth", "apikey", "api_key",
                 "privatekey", "private_key", "accesskey", "access_key")
-MIN_CHARS = 8
 MIN_BITS = 40.0
+MAX_WORDS = 50_000  # corpus words that are broadcast
+MIN_DOCS = 3  # documents that must hold a word
 
 # Frequent passwords and words in them, most frequent first.
 COMMON_WORDS = """password qwerty admin welcome login letmein monkey dragon master shadow
@@ -44,7 +47,7 @@ jessica jennifer ashley nicole pepper ginger cookie banana orange apple flower a
 money lucky magic happy purple silver golden matrix access internet computer server system
 example sample demo temp pass token key""".split()
 _WORD_BITS = {w: log2(n + 2) for n, w in reversed(list(enumerate(COMMON_WORDS)))}
-_WORD_SIZES = sorted({len(w) for w in COMMON_WORDS}, reverse=True)
+_LONGEST_WORD = 24
 _LEET = str.maketrans("013457@$!", "oleastasi")
 _KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 _NEXT = {(a, b): step for row in _KEY_ROWS for step, pairs in ((1, zip(row, row[1:])), (-1, zip(row[1:], row)))
@@ -89,8 +92,23 @@ def _longest_repeats(value: str, unit: int) -> list[int]:
     return same
 
 
-def guess_bits(value: str) -> float:
-    """The least bits over all segmentations of ``value``; 0 for an empty one."""
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int = MAX_WORDS, min_docs: int = MIN_DOCS) -> dict[str, float]:
+    """Bits of the ``most`` words that the most documents hold, and of ``COMMON_WORDS``.
+
+    A word is a run of 3 to ``_LONGEST_WORD`` letters in lower case, held by ``min_docs`` documents or more;
+    all documents are counted. The result is bounded by ``most``, whatever the corpus.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit(rf"(?<!\p{{L}})(\p{{L}}{{3,{_LONGEST_WORD}}})(?!\p{{L}})")))
+    held = (docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
+            .where(F.col("docs") >= min_docs).orderBy(F.desc("docs"), "word").limit(most).collect())
+    bits = {r["word"]: log2(rank + 2) for rank, r in enumerate(held)}
+    return bits | {w: min(b, bits.get(w, b)) for w, b in _WORD_BITS.items()}
+
+
+def guess_bits(value: str, words: dict[str, float] | None = None) -> float:
+    """The least bits over all segmentations of ``value``; 0 for an empty one. ``words`` gives the bits of
+    words in lower case (by default ``COMMON_WORDS``)."""
+    words = _WORD_BITS if words is None else words
     n = len(value)
     lower = value.lower() if value.isascii() else "".join(c.lower() if c.isascii() else c for c in value)
     plain = lower.translate(_LEET)
@@ -122,11 +140,11 @@ def guess_bits(value: str) -> float:
         now = best[i]
         reach(i + 1, now + _char_bits(value[i]))
         now += _PIECE_BITS
-        for size in _WORD_SIZES:
-            w = _WORD_BITS.get(plain[i:i + size]) if i + size <= n else None
-            if w is not None:
+        for size in range(2, min(_LONGEST_WORD, n - i) + 1):
+            w = min(words.get(plain[i:i + size], inf), words.get(lower[i:i + size], inf))
+            if w < inf:
                 piece = value[i:i + size]
-                changed = (piece != lower[i:i + size]) + (lower[i:i + size] != plain[i:i + size])
+                changed = (piece != lower[i:i + size]) + (lower[i:i + size] not in words)
                 reach(i + size, now + w + changed * log2(size + 1))
         if value[i].isdigit():
             for pattern, bits in ((_DATE, _DATE_BITS), (_YEAR, _YEAR_BITS)):
@@ -156,7 +174,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
+def added_spans(text: str, base: list[tuple[int, int, int]], min_bits: float = MIN_BITS,
+                words: dict[str, float] | None = None) -> list[tuple[int, int, int]]:
     """Values in a credential's place that overlap no base span and cost ``min_bits`` or more."""
     low = text.lower()
     if not any(h in low for h in CONTEXT_HINT):
@@ -167,7 +186,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], min_bits: float = M
         while at < len(base) and base[at][0] < end:
             covered_to = max(covered_to, base[at][2])
             at += 1
-        if end - begin >= MIN_CHARS and covered_to <= begin and guess_bits(m.group(1)) >= min_bits:
+        if covered_to <= begin and guess_bits(m.group(1), words) >= min_bits:
             spans.append((begin, 3, end))
     return spans
 
@@ -176,8 +195,9 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{b}:{e}" for b, k, e in spans)
 
 
-def _scan(min_bits: float, text_col: str, names: list[str]):
+def _scan(min_bits: float, text_col: str, names: list[str], shared):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             counts, base, spans = ([], [], []), [], []
@@ -186,20 +206,23 @@ def _scan(min_bits: float, text_col: str, names: list[str]):
                 for kind, count in enumerate(counts):
                     count.append(sum(k == kind for _, k, _ in own))
                 base.append(_joined(own))
-                spans.append(_joined(sorted(own + added_spans(text or "", own, min_bits))))
+                spans.append(_joined(sorted(own + added_spans(text or "", own, min_bits, words))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()),
                  pa.array(spans, pa.string())], names=[*batch.schema.names, *names])
     return scan
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", min_bits: float = MIN_BITS) -> DataFrame:
+def scan_secrets(docs: DataFrame, text_col: str = "text", min_bits: float = MIN_BITS,
+                 words: dict[str, float] | None = None) -> DataFrame:
     """Every column of ``docs`` plus ``n_assign, n_access, n_hex, base_spans, spans``.
 
     Spans read ``kind:start:end`` in code points, end exclusive, by start and then kind, joined
     with commas; ``spans`` holds the base ones and those added as ``guess``. An added value
     stands in a credential's place, overlaps no base span and costs at least ``2 ** min_bits``
-    guesses. A null or empty text has none; equal texts get equal spans. Input columns named
+    guesses, given the frequent words of ``docs`` (or ``words``). A place follows a keyword such as ``pwd`` or
+    ``credential`` that no letter stands before, and a colon or equals sign (or ``is``, if the value
+    has a digit). A null or empty text has none; equal texts get equal spans. Input columns named
     like added ones are replaced. An empty table gives an empty result.
     """
     names = ["n_assign", "n_access", "n_hex", "base_spans", "spans"]
@@ -207,4 +230,5 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", min_bits: float = MIN_
     own = docs.drop(*names)
     schema = T.StructType([*own.schema.fields, *(T.StructField(n, T.LongType()) for n in names[:3]),
                            *(T.StructField(n, T.StringType()) for n in names[3:])])
-    return own.mapInArrow(_scan(min_bits, text_col, names), schema)
+    words = corpus_words(docs, text_col) if words is None else words
+    return own.mapInArrow(_scan(min_bits, text_col, names, docs.sparkSession.sparkContext.broadcast(words)), schema)

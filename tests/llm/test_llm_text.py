@@ -207,7 +207,7 @@ def test_contamination_edge_cases(spark, monkeypatch):
         monkeypatch.setattr(fm_index, "BLOCK_WORDS", words)
         got = find_contamination(frame(spark, rows), items).select("doc_id", "n_words", "n_hit", "hit_items", "n_items", "source").collect()
         assert len(got) == len(rows) and {(r[0], r[1], r[2], ",".join(r[3])) for r in got} == want
-        assert all(r[4] == len(r[3]) and r[5] == "s" for r in got)
+        assert all(r[4] == len(r[3]) + (r[0] == 5) and r[5] == "s" for r in got)
     none = find_contamination(frame(spark, rows), items.limit(0))
     assert {(r["n_words"], r["n_hit"]) for r in none.where("doc_id = 1").collect()} == {(12, 0)}
     assert find_contamination(frame(spark, []), items).count() == 0
@@ -365,6 +365,38 @@ def test_guess_costs_are_the_least():
         assert abs(guess_bits(value) - brute_bits(value)) < 1e-6, value
 
 
+def test_planted_secrets_are_found_and_prose_is_left_alone(spark):
+    """Values that the base patterns miss, among the sentences of the documents themselves."""
+    rng = random.Random(12)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!@#$%^&*+-_"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(400).collect()
+    keys = ["pwd: ", "passphrase=", "auth = ", "Credentials: ", "password: ", "private_key=", "passcode is "]
+    planted, prose = [], []
+    common = ["monday", "whatever", "freedom", "sunshine", "november", "princess"]
+    for i, r in enumerate(docs[:150]):
+        value = "".join(rng.choice(signs) for _ in range(12)) + "9"
+        planted.append((i, f"{r.text} {keys[i % len(keys)]}{value} {r.text}", value))
+    words = [w for r in docs for w in (r.text or "").split() if w.isalpha() and len(w) > 2]
+    for i in range(300):
+        a, b = rng.choice(words), rng.choice(common)
+        prose.append((1000 + i, f"the password is {a} and the bypass is {b}, compass: {a}{b} secret: {a} token={b}{i % 10} pwd: {a}{b}"))
+    rows = [(i, t) for i, t, _ in planted] + prose + [(5000 + n, r.text) for n, r in enumerate(docs)]
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(any(s.split(":")[0] in ("guess", "assign") and t[int(s.split(":")[1]):int(s.split(":")[2])].endswith(v)
+                    for s in got[i].spans.split(",") if s) for i, t, v in planted)
+    assert found >= 0.9 * len(planted)
+    marked = [i for i, _ in prose if "guess" in got[i].spans]
+    assert len(marked) <= 0.02 * len(prose)
+    assert sum("guess" in got[5000 + n].spans for n in range(len(docs))) <= 0.01 * len(docs)
+
+
+def test_corpus_words_are_ranked_by_documents(spark):
+    docs = spark.createDataFrame([(i, "Berlin berlin rare" + str(i) + (" tower" if i < 4 else "")) for i in range(9)], "doc_id long, text string")
+    words = guess_cost.corpus_words(docs, most=2)
+    assert words["berlin"] == 1 and words["rare"] == np.log2(3) and "tower" not in words and words["password"] <= 1
+    assert guess_bits("berlintower", words) < guess_bits("berlintower")
+
+
 def test_secret_scan_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "pwd: x7$Kq9!mZp2w and passphrase is monkeydragon"), (3, "pwd: x7$Kq9!mZp2w and passphrase is monkeydragon"),
             (None, "é token = 'f33e61083db5dbdf4bd2369d2f80176e57f7fda2'"), (4, "pwd=" + "aB3$x" * 20_000)]
