@@ -18,6 +18,7 @@ from math import inf, log2
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import materialize
 from .common import small_batches
 
 # The patterns of the base kinds, in their order.
@@ -93,14 +94,22 @@ def _longest_repeats(value: str, unit: int) -> list[int]:
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", most: int = MAX_WORDS, min_docs: int = MIN_DOCS) -> dict[str, float]:
-    """Bits of the ``most`` words that the most documents hold, and of ``COMMON_WORDS``.
+    """Bits of the words that the most documents hold, at most ``most``, and of ``COMMON_WORDS``.
 
     A word is a run of 3 to ``_LONGEST_WORD`` letters in lower case, held by ``min_docs`` documents or more;
-    all documents are counted. The result is bounded by ``most``, whatever the corpus.
+    all documents are counted. Words held by equally many documents are in or out together. Only
+    the chosen words come to the driver, after a line for each number of documents.
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit(rf"(?<!\p{{L}})(\p{{L}}{{3,{_LONGEST_WORD}}})(?!\p{{L}})")))
-    held = (docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
-            .where(F.col("docs") >= min_docs).orderBy(F.desc("docs"), "word").limit(most).collect())
+    counted = materialize(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
+                          .where(F.col("docs") >= min_docs), "word-counts")
+    least, taken = None, 0
+    for level in counted.groupBy("docs").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("docs")).limit(most).collect():
+        if taken + level["n"] > most:
+            break
+        least, taken = level["docs"], taken + level["n"]
+    held = counted.where(F.col("docs") >= least).collect() if taken else []
+    held.sort(key=lambda r: (-r["docs"], r["word"]))
     bits = {r["word"]: log2(rank + 2) for rank, r in enumerate(held)}
     return bits | {w: min(b, bits.get(w, b)) for w, b in _WORD_BITS.items()}
 
