@@ -454,34 +454,37 @@ def q_bridge_summary(spark, sf):
     return skills.bridge_summary(star_for(spark, sf).bridge)
 
 
-@register("skill_coverage", "W30", O.with_ctes(*O.CHAIN_SKILLS) + """
- SELECT 'skill coverage' AS check_name, (SELECT count(*) FROM fact) AS total_jobs,
-   count(DISTINCT job_posting_id) AS jobs_with_skill,
-   CAST(round(100.0 * count(DISTINCT job_posting_id) / (SELECT count(*) FROM fact), 1) AS DOUBLE) AS pct_coverage
- FROM bridge""")
+# Per posting: whether any skill was found in it.
+_TAGGED = """
+ , tagged AS (SELECT f.job_id, EXISTS (SELECT 1 FROM bridge b WHERE b.job_posting_id = f.job_posting_id) AS has_skill FROM fact f)"""
+
+
+@register("skill_coverage", "W30", O.with_ctes(*O.CHAIN_SKILLS) + _TAGGED + """
+ SELECT 'skill coverage' AS check_name, count(*) AS total_jobs, count(*) FILTER (WHERE has_skill) AS jobs_with_skill,
+   CAST(round(100.0 * count(*) FILTER (WHERE has_skill) / count(*), 1) AS DOUBLE) AS pct_coverage FROM tagged""")
 def q_skill_coverage(spark, sf):
     s = star_for(spark, sf)
     return skills.skill_coverage(s.fact, s.bridge)
 
 
 @register("top_skills", "W31", O.with_ctes(*O.CHAIN_SKILLS) + """
- SELECT ds.skill_name, ds.skill_category, count(*) AS demand_count,
-   CAST(round(100.0 * count(*) / (SELECT count(*) FROM fact), 1) AS DOUBLE) AS pct_of_jobs
- FROM bridge b JOIN dim_skill ds ON b.skill_id = ds.skill_id
- GROUP BY ds.skill_id, ds.skill_name, ds.skill_category""")
+ , demand AS (SELECT skill_id, count(*) AS n FROM bridge GROUP BY skill_id),
+ size AS (SELECT count(*) AS jobs FROM fact)
+ SELECT skill_name, skill_category, n AS demand_count, CAST(round(100.0 * n / jobs, 1) AS DOUBLE) AS pct_of_jobs
+ FROM demand JOIN dim_skill USING (skill_id), size""")
 def q_top_skills(spark, sf):
     s = star_for(spark, sf)
     return skills.top_skills(s.bridge, s.dim_skill, s.fact)
 
 
-@register("skill_limitation", "W32", O.with_ctes(*O.CHAIN_SKILLS) + """
- SELECT 'skill extraction limitation' AS check_name, (SELECT count(*) FROM stg) AS total_jobs,
-   (SELECT CAST(round(avg(description_length), 0) AS DOUBLE) FROM stg) AS avg_desc_length,
-   (SELECT count(*) FILTER (WHERE contains(description_clean, '…') OR contains(description_clean, '...'))
-      FROM stg) AS truncated_descriptions,
-   (SELECT count(DISTINCT job_posting_id) FROM bridge) AS jobs_with_skill,
-   CAST(round(100.0 * (SELECT count(DISTINCT job_posting_id) FROM bridge) / (SELECT count(*) FROM stg), 1)
-     AS DOUBLE) AS pct_coverage, 'API truncation at 500 chars limits coverage' AS interpretation""")
+@register("skill_limitation", "W32", O.with_ctes(*O.CHAIN_SKILLS) + _TAGGED + """
+ SELECT 'skill extraction limitation' AS check_name, count(*) AS total_jobs,
+   CAST(round(avg(description_length), 0) AS DOUBLE) AS avg_desc_length,
+   count(*) FILTER (WHERE regexp_matches(description_clean, '…|[.][.][.]')) AS truncated_descriptions,
+   count(*) FILTER (WHERE has_skill) AS jobs_with_skill,
+   CAST(round(100.0 * count(*) FILTER (WHERE has_skill) / count(*), 1) AS DOUBLE) AS pct_coverage,
+   'API truncation at 500 chars limits coverage' AS interpretation
+ FROM stg JOIN tagged USING (job_id)""")
 def q_skill_limitation(spark, sf):
     s = star_for(spark, sf)
     return skills.skill_limitation(s.stg, s.bridge)
