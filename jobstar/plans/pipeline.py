@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import mart, quality, salary, skills, staging
 from ..operators.upsert import store_raw
+from ..sources.schemas import checked
 from ..sources.standin import feed_rows
 from ..session import materialize
 from ..sources.tables import Tables
@@ -29,6 +30,11 @@ def build_staging(raw: DataFrame) -> DataFrame:
     return salary.finalize_salary(staging.load_staging(raw))
 
 
+def _stored(df: DataFrame, table: str) -> DataFrame:
+    """A layer written as its declared table."""
+    return materialize(checked(df, table), table)
+
+
 class Star:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, raw: DataFrame | None = None):
         self.spark = spark
@@ -46,7 +52,7 @@ class Star:
         # checkpoint folder so dimensions, fact, bridge and checks do not re-derive it.
         # The quality metrics ride along with that write (no extra scan).
         self._stg_observation = Observation("stg_quality")
-        observed = build_staging(self.raw).observe(self._stg_observation, *quality.observed_metrics())
+        observed = checked(build_staging(self.raw), "stg_jobs").observe(self._stg_observation, *quality.observed_metrics())
         return materialize(observed, "stg_jobs")
 
     @property
@@ -57,33 +63,33 @@ class Star:
 
     @cached_property
     def dim_company(self) -> DataFrame:
-        return materialize(mart.dim_company(self.stg), "dim_company")
+        return _stored(mart.dim_company(self.stg), "dim_company")
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return materialize(mart.dim_location(self.stg), "dim_location")
+        return _stored(mart.dim_location(self.stg), "dim_location")
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return materialize(mart.dim_date(self.stg), "dim_date")
+        return _stored(mart.dim_date(self.stg), "dim_date")
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return materialize(mart.dim_category(self.stg), "dim_category")
+        return _stored(mart.dim_category(self.stg), "dim_category")
 
     @cached_property
     def fact(self) -> DataFrame:
         # Written once as the fact table; every report and the bridge read it.
-        return materialize(mart.load_fact(self.stg, self.dim_company, self.dim_location, self.dim_category),
-                           "fact_job_postings")
+        return _stored(mart.load_fact(self.stg, self.dim_company, self.dim_location, self.dim_category),
+                       "fact_job_postings")
 
     @cached_property
     def dim_skill(self) -> DataFrame:
-        return materialize(skills.dim_skill(self.spark), "dim_skill")
+        return _stored(skills.dim_skill(self.spark), "dim_skill")
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return materialize(skills.bridge_job_skills(self.fact, self.stg, self.dim_skill), "bridge_job_skills")
+        return _stored(skills.bridge_job_skills(self.fact, self.stg, self.dim_skill), "bridge_job_skills")
 
 
 _BUILT: dict[tuple[str, str], Star] = {}
