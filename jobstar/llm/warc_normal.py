@@ -6,7 +6,8 @@ again as a gzip member of its own, and puts a sidecar of member offsets next to
 that ``read_records`` can fetch single records. A task holds one record at a time.
 
 Archives and sidecars are written under the folder given, by the task that read the source,
-first under another name and then moved, so a task that runs again replaces its own file.
+first under a name of its own attempt and then moved, so attempts don't write one file and
+a task that runs again replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CRLF = "\r\n"
@@ -44,7 +46,10 @@ def typed_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     # Digests held twice or more, pre-aggregated before the exchange.
     shared = (rows.where(long).groupBy(F.col("digest").alias("d"))
               .agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 and last is not null"))
-    joined = rows.join(shared, (F.col("digest") == F.col("d")) & long, "left")
+    # Short payloads match nothing: they are dealt out, not gathered by the few digests they have.
+    dealt = F.when(long, F.col("digest")).otherwise(F.concat(F.lit("short "), F.monotonically_increasing_id().cast("string")))
+    rows = rows.withColumn("deal", dealt)
+    joined = rows.join(shared, F.col("deal") == F.col("d"), "left")
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return joined.select("page_id", "url", "payload", "digest",
                          F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -153,7 +158,8 @@ def _normaliser(folder: str):
         target, base = _open(folder)
         name = path.rsplit("/", 1)[-1].split(".")[0]
         final = f"{base}/{name}.warc.gz"
-        part = f"{base}/.{name}.{hashlib.sha1(uri.encode()).hexdigest()[:8]}.tmp"
+        attempt = TaskContext.get().taskAttemptId()
+        part = f"{base}/.{name}.{hashlib.sha1(uri.encode()).hexdigest()[:8]}.{attempt}.tmp"
         offset = count = 0
         with source.open_input_stream(path, compression=None) as raw, \
                 target.open_output_stream(part, compression=None) as out, \
@@ -178,8 +184,15 @@ def _normaliser(folder: str):
     return run
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of the session's file system where it names none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def normalise(spark: SparkSession, source: str, folder: str) -> int:
     """Rewrite every archive of ``source`` into ``folder`` with its sidecar; the number of records."""
+    folder = _qualified(spark, folder)
     target, base = _open(folder)
     target.create_dir(base, recursive=True)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(source).select("path")
@@ -251,9 +264,11 @@ def warc_round_trip(pages: DataFrame, folder: str, id_col: str = "page_id", url_
     A null payload is empty and always a response; a null url or identifier has no header and
     is read back as null; control characters and spaces in a url are written as ``%20``.
     Repeated rows are separate records with one record identifier. Other columns are ignored.
-    An empty table gives no record.
+    An empty table gives no record. Identifiers are whole numbers; others are an error.
     """
     spark = pages.sparkSession
+    if not isinstance(pages.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError(f"{id_col} is {pages.schema[id_col].dataType.simpleString()}, not a whole number")
     write_archives(pages, f"{folder}/streams", id_col=id_col, url_col=url_col, html_col=html_col)
     normalise(spark, f"{folder}/streams", f"{folder}/records")
     return read_records(read_index(spark, f"{folder}/records"))

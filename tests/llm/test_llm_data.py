@@ -206,6 +206,29 @@ def test_warc_round_trip_edge_cases(spark, monkeypatch):
         assert b"".join(parts) == gzip.decompress(data) and all(p.startswith(b"WARC/1.1\r\n") for p in parts)
 
 
+def test_warc_identifiers_are_whole_numbers(spark):
+    pages = spark.createDataFrame([("a", "u", "h")], "page_id string, url string, html string")
+    with pytest.raises(ValueError, match="page_id is string"):
+        warc_round_trip(pages, scratch_path(spark, "warc-test"))
+
+
+def test_short_payloads_are_dealt_out(spark):
+    pages = spark.createDataFrame([(i, "u", None if i % 2 else "x" * 2000) for i in range(400)],
+                                  "page_id long, url string, html string")
+    typed = warc_normal.typed_records(pages.repartition(4))
+    assert Counter((r.record_type, r.refers_to) for r in typed.collect()) == {("response", None): 201, ("revisit", 398): 199}
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:  # the type comes from the join, so the join can't be left out
+        per_task = (warc_normal.typed_records(pages.repartition(4)).where("payload = ''")
+                    .groupBy("record_type", F.spark_partition_id().alias("task")).count().collect())
+        assert len(per_task) == 8 and max(r["count"] for r in per_task) < 60
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_warc_of_no_pages(spark):
     got = warc_round_trip(spark.createDataFrame([], PAGES), scratch_path(spark, "warc-test"))
     assert got.count() == 0
