@@ -1,26 +1,68 @@
 """Exact deduplication by sorting the content itself.
 
-The normalised text is range-partitioned by sampled splitters and sorted inside each
-partition (Spark's sort spills to disk), so equal texts become neighbours and a window over
-the sorted rows compares each text in full with the one before it. A range exchange on the
-leading part of the window's key already clusters its groups, so the text crosses the network
-once.
+Splitters are sampled over the normalised bytes: a few texts per partition, cut to
+``HEAD_CHARS``, are ranked, and of the texts at the quantiles only as much is kept as parts
+them from the sampled text before. They range-partition the rows; each partition is sorted
+by its texts (Spark's sort spills to disk), so equal texts become neighbours and a window
+compares each text in full with the one before it. The text crosses the network once.
 
 Skew: a text that holds more than ``1 / HOT_SHARE`` of all rows is found first by an exact
 count of text hashes (at most ``HOT_SHARE`` of them can exist, which bounds the broadcast).
-Its rows get a salt, so the splitters cut the group over many partitions; each salted part
-keeps its own winner, and the few winners are merged by full text digest afterwards.
+Its rows get a salt, so the group is cut over many partitions; each salted part
+keeps its own winner, and the few winners are merged by full text digest afterwards. Where
+more rows than a partition takes begin with the same ``HEAD_CHARS`` characters, no splitter
+can part them: these rows alone are dealt by the hash of their text as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import fold_ascii, shuffle_partitions
 
 HOT_SHARE = 200
-HEAD_CHARS = 16
+HEAD_CHARS = 1024
+SAMPLED_PER_PARTITION = 20
+_SEED = 8
+_PREFIXES = (16, 64, 256, HEAD_CHARS)
+
+
+def sampled_splitters(norm: DataFrame, parts: int, fraction: float) -> list[tuple[str, bool]]:
+    """Ascending splitters of the column ``norm`` with whether the bucket that begins there can't be cut further.
+
+    At most ``parts`` come to the driver, of at most ``HEAD_CHARS`` characters. One task orders the sample's distinct
+    heads, about ``SAMPLED_PER_PARTITION * parts`` of that length.
+    """
+    heads = (norm.sample(fraction, _SEED).groupBy(F.substring("norm", 1, HEAD_CHARS).alias("head"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    up_to = Window.orderBy("head")
+    ranked = heads.select("head", "n", F.sum("n").over(up_to).alias("upto"), F.lag("head").over(up_to).alias("before"),
+                          F.sum("n").over(Window.partitionBy()).alias("total"))
+    # The quantiles that fall on a head; more than one: the head holds more than a partition's share.
+    share = F.greatest(F.lit(1.0), F.col("total") / parts)
+    quantiles = F.floor(F.col("upto") / share) - F.floor((F.col("upto") - F.col("n")) / share)
+    start = F.when(F.col("before").isNull(), F.substring("head", 1, _PREFIXES[0]))
+    for size in _PREFIXES:
+        start = start.when(F.substring("head", 1, size) != F.substring("before", 1, size), F.substring("head", 1, size))
+    picked = ranked.where(quantiles > 0).select(start.alias("start"), (quantiles > 1).alias("full"))
+    return sorted(((r["start"], r["full"]) for r in picked.collect()), key=lambda s: s[0].encode())
+
+
+def bucket_of(norm: Column, splitters: list[tuple[str, bool]]) -> tuple[Column, Column]:
+    """How many splitters a text has reached, found in two steps, and whether its bucket can't be cut further."""
+    if not splitters:
+        return F.lit(0), F.lit(False)
+    step = math.isqrt(len(splitters) - 1) + 1
+    rows = [splitters[i:i + step] for i in range(0, len(splitters), step)]
+    reached = lambda starts: F.size(F.filter(starts, lambda s: s <= norm))
+    row = reached(F.array(*[F.lit(r[0][0]) for r in rows]))
+    inside = F.get(F.array(*[F.array(*[F.lit(s) for s, _ in r]) for r in rows]), row - 1)
+    bucket = F.when(row == 0, 0).otherwise((row - 1) * step + reached(inside))
+    full = F.coalesce(F.get(F.array(*[F.lit(f) for _, f in splitters]), bucket - 1), F.lit(False))
+    return bucket, full
 
 
 def content_sort_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -47,11 +89,13 @@ def content_sort_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .join(F.broadcast(hot), "h", "left")
               .withColumn("salt", F.when(F.col("hot"), F.monotonically_increasing_id() % parts).otherwise(F.lit(-1))))
     pick = F.col("id").asc_nulls_last() if keep == "smallest" else F.col("id").desc_nulls_last()
-    # Splitters are sampled on the first characters and the hash: whole texts never reach the
-    # driver. The window's own key ends with the whole text.
-    salted = salted.withColumn("head", F.substring("norm", 1, HEAD_CHARS))
-    group = Window.partitionBy("head", "h", "salt", "norm")
-    sorted_once = (salted.repartitionByRange(parts, "head", "h", "salt")
+    fraction = min(1.0, SAMPLED_PER_PARTITION * parts / max(1, total))
+    splitters = sampled_splitters(salted.where("salt < 0").select("norm"), parts, fraction)
+    bucket, full = bucket_of(F.col("norm"), splitters)
+    salted = (salted.withColumn("bucket", bucket)
+              .withColumn("tie", F.when(full, F.col("h")).otherwise(F.lit(0).cast("long"))))
+    group = Window.partitionBy("bucket", "norm", "tie", "salt")
+    sorted_once = (salted.repartitionByRange(parts, "bucket", "tie", "salt")
                    .withColumn("part_keep", F.first("id").over(group.orderBy(pick)))
                    .withColumn("part_size", F.count(F.lit(1)).over(group.orderBy(pick).rowsBetween(
                        Window.unboundedPreceding, Window.unboundedFollowing)))

@@ -233,6 +233,40 @@ def test_content_sort_edge_cases(spark, monkeypatch, keep):
     assert content_sort_groups(frame(spark, []), keep=keep).count() == 0
 
 
+@pytest.mark.parametrize("head", [1024, 8])
+def test_splitters_part_rows_by_content_and_shared_heads_by_hash(spark, monkeypatch, head):
+    monkeypatch.setattr(content_sort, "HEAD_CHARS", head)
+    monkeypatch.setattr(content_sort, "_PREFIXES", (2, 4, head))
+    # A third begins alike and differs late; others share shorter heads or are cut by bytes beyond ASCII.
+    texts = ["common " * 3 + str(i) for i in range(300)] + [f"{c}{i}" for c in "aézß漢😀" for i in range(100)] + ["", ""]
+    norm = spark.createDataFrame([(t,) for t in texts], "norm string")
+    splitters = content_sort.sampled_splitters(norm, 9, 1.0)
+    starts = [s.encode() for s, _ in splitters]
+    assert starts == sorted(set(starts)) and 5 <= len(starts) <= 9
+    assert any(full for _, full in splitters) == (head == 8)
+    bucket, full = content_sort.bucket_of(F.col("norm"), splitters)
+    got = norm.select("norm", bucket.alias("b"), full.alias("f")).collect()
+    assert all(r.b == sum(s <= r.norm.encode() for s in starts) for r in got)
+    sizes = Counter(r.b for r in got if not r.f)
+    assert max(sizes.values()) <= 2 * len(texts) / 9
+    assert all(r.f for r in got if r.norm.startswith("common ")) == (head == 8)
+
+
+@pytest.mark.parametrize("head", [1024, 4])
+def test_content_sort_of_many_partitions_equals_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(content_sort, "HEAD_CHARS", head)
+    monkeypatch.setattr(content_sort, "_PREFIXES", (2, head))
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice(["long head ", "long tail ", "é", ""]) + str(rnd.randrange(120))) for i in range(600)]
+    rows += [(1000 + i, "Hot") for i in range(200)]
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t.translate(LOWER)].append(i)
+    want = {(i, max(ids), len(ids)) for ids in groups.values() for i in ids}
+    got = content_sort_groups(frame(spark, rows), keep="largest")
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got.collect()} == want
+
+
 # ---- lines ----
 
 def brute_lines(rows):
