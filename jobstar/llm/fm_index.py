@@ -10,17 +10,20 @@ A word that no phrase holds can't be part of an occurrence: in the index it ends
 and a stretch shorter than the shortest phrase is left out. That loses nothing.
 
 The phrases are the broadcast side. They are split in blocks of ``BLOCK_WORDS`` benchmark
-words, which bounds what is broadcast at once; documents pass the blocks one after the other.
+words, a longer item in pieces, which bounds what is broadcast and held by the driver at once;
+documents pass the blocks one after the other and are written in between with their hits.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import materialize
 from .common import small_batches, tmp_name
 from .words import ALNUM, hash_words, text_bytes
 
@@ -247,19 +250,33 @@ def _searcher(shared, text_col: str, p: str):
     return search
 
 
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def pieces(text: bytes, words: int, window: int = WINDOW) -> Iterator[bytes]:
+    """``text`` in stretches that together hold each of its windows; about ``words`` words each."""
+    if len(text) <= 6 * words:  # about six bytes a word
+        yield text
+        return
+    places = [m.span() for m in _WORD.finditer(text)]
+    for at in range(0, max(1, len(places) - window + 1), words):
+        held = places[at:at + words + window - 1]
+        yield text[held[0][0]:held[-1][1]] if held else b""
+
+
 def phrase_blocks(items: DataFrame, item_col: str = "item_id", text_col: str = "text",
                   window: int = WINDOW) -> Iterator[Phrases]:
-    """Blocks of phrases of at most about ``BLOCK_WORDS`` words (or one longer item)."""
+    """Blocks of phrases of at most about ``BLOCK_WORDS`` words; a longer item is in several."""
     held: list[tuple[str, bytes]] = []
     size = 0
     rows = items.select(F.col(item_col).cast("string"), F.col(text_col))
     for item, text in rows.toLocalIterator():
-        data = (text or "").encode()
-        if held and size + len(data) > 6 * BLOCK_WORDS:
-            yield Phrases(held, window)
-            held, size = [], 0
-        held.append((item, data))
-        size += len(data)
+        for data in pieces((text or "").encode(), BLOCK_WORDS, window):
+            if held and size + len(data) > 6 * BLOCK_WORDS:
+                yield Phrases(held, window)
+                held, size = [], 0
+            held.append((item, data))
+            size += len(data)
     if held:
         yield Phrases(held, window)
 
@@ -284,12 +301,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
                          F.array().cast("array<string>").alias(p + "items"))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in result.schema])
     spark = docs.sparkSession
-    found = False
-    for phrases in phrase_blocks(items, window=window):
-        result = result.mapInArrow(_searcher(spark.sparkContext.broadcast(vars(phrases)), text_col, p), schema)
-        found = True
-    if not found:  # no item: the words are counted all the same
-        result = result.mapInArrow(_searcher(spark.sparkContext.broadcast(vars(Phrases([]))), text_col, p), schema)
+    blocks = phrase_blocks(items, window=window)
+    block = next(blocks, Phrases([]))  # without items the words are counted all the same
+    while block is not None:
+        shared = spark.sparkContext.broadcast(vars(block))
+        result = result.mapInArrow(_searcher(shared, text_col, p), schema)
+        block = next(blocks, None)
+        if block is not None:  # one block at a time is held by the driver and the tasks
+            result = materialize(result, "fm-block")
+            shared.destroy()
     hits = F.aggregate(p + "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return result.select(*own, F.col(p + "words").alias("n_words"), hits.alias("n_hit"),
                          F.size(p + "items").cast("long").alias("n_items"),

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from jobstar.llm import content_sort, guess_cost, line_runs, ngram_join, queries
+from jobstar.llm import content_sort, fm_index, guess_cost, line_runs, ngram_join, queries
 from jobstar.llm.common import numbered
 from jobstar.llm.content_sort import content_sort_groups
 from jobstar.llm.fm_index import Phrases, _mark, find_contamination
@@ -196,7 +196,6 @@ def test_fm_index_marks_every_occurrence(seed):
 
 
 def test_contamination_edge_cases(spark, monkeypatch):
-    from jobstar.llm import fm_index
 
     passage = " ".join(f"q{i}" for i in range(12))
     rows = [(1, passage.upper()), (1, passage.upper()), (2, None), (3, ""), (None, "x " + passage), (4, "short ITEM here"),
@@ -213,6 +212,17 @@ def test_contamination_edge_cases(spark, monkeypatch):
     assert find_contamination(frame(spark, []), items).count() == 0
 
 
+@pytest.mark.parametrize("words", [1, 3, 50, 1000])
+def test_pieces_hold_every_window_of_an_item(words):
+    rnd = random.Random(words)
+    for n in (0, 1, 9, 10, 11, 40, 200):
+        text = b" -- ".join(rnd.choice([b"Ab", "é漢".encode(), b"7", b"longer"]) + str(i).encode() for i in range(n))
+        whole = Phrases([("a", text)])
+        parts = Phrases([("a", t) for t in fm_index.pieces(text, words)])
+        own = lambda p: {tuple(np.append(0, p.words)[r]) for r in p.symbols}
+        assert own(whole) == own(parts) and whole.item_ids == parts.item_ids
+
+
 # ---- exact duplicates ----
 
 @pytest.mark.parametrize("keep", ["smallest", "largest"])
