@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.joins import with_totals
+from ..operators.ranges import running_sum
 from ..session import materialize
 from .common import BLANK_WORD, numbered, tmp_name
 
@@ -35,26 +37,28 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE,
                    max_copies: int = MAX_COPIES) -> DataFrame:
     """``source, source_size, target`` per source; ``sized`` has ``source, size``.
 
-    Only rows per source are ordered here. With sources sorted by cap / weight, those up to
-    some place are capped and the rest share what is left by weight; the place is the last
-    one whose cap is at most the level ``left / weights`` that it would leave.
+    Sources, however many, are numbered and summed through over range partitions. With sources
+    sorted by cap / weight, those up to some place are capped and the rest share what is left by
+    weight; the place is the last one whose cap is at most the level ``left / weights`` that it
+    would leave.
     """
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    w = sums.withColumn("w", F.get(cycle, (rank - 1) % len(weights)))
+    # Null sorts first in a range exchange: its place is set aside and is the last one.
+    one = sums.withColumns({"all": F.lit(0), "last": F.col("source").isNull()})
+    placed = numbered(one, "all", ["last", "source"], "place", few_groups=True)
+    w = placed.withColumn("w", F.get(cycle, (F.col("place") % len(weights)).cast("int")))
     w = w.withColumn("cap", F.col("source_size") * float(max_copies))
-    order = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    level = left / F.sum("w").over(onward)
-    w = w.withColumn("level", level).withColumn("capped", F.col("cap") <= F.col("level") * F.col("w"))
+    w = w.select("source", "source_size", "all", "w", "cap", F.struct(F.col("cap") / F.col("w"), "place").alias("order"))
+    through = running_sum(w, ["all"], "order", "cap", "caps")
+    through = running_sum(through, ["all"], "order", "w", "ws")
+    left = F.col("caps_total") / float(max_copies) * F.lit(float(share)) - (F.col("caps") - F.col("cap"))
+    level = left / (F.col("ws_total") - (F.col("ws") - F.col("w")))
+    w = through.withColumn("level", level).withColumn("capped", F.col("cap") <= F.col("level") * F.col("w"))
     # Levels rise up to the first source that isn't capped and fall from there: its level holds.
-    flat = F.max(F.when(~F.col("capped"), F.col("level"))).over(Window.partitionBy())
+    w = with_totals(w, w.agg(F.max(F.when(~F.col("capped"), F.col("level"))).alias("flat")))
     return w.select("source", "source_size",
-                    F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * flat).alias("target"))
+                    F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * F.col("flat")).alias("target"))
 
 
 def pareto_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
