@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 from decimal import Decimal
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from jobstar.operators import mart, quality, salary, skills, staging
 from jobstar.operators.keys import surrogate_key
 from jobstar.operators.upsert import upsert_raw
 from jobstar.sources.landing import RAW_SCHEMA, conform
+from jobstar.sources.standin import feed_rows
 
 T0 = dt.datetime(2026, 3, 1, 10, 0, 0)
 
@@ -262,3 +264,28 @@ def test_reports_come_in_order(spark):
     assert [r.skill_category for r in skills.skill_category_counts(dim, bridge).collect()] == ["Y", "X"]
     stg = spark.createDataFrame([(None,), ("x",), ("x",), ("a",)], "category_tag string")
     assert [r.category_tag for r in quality.dq_category(stg).collect()] == ["x", None, "a"]
+
+
+def test_feed_of_large_customer_keys(spark):
+    """Coordinates that don't fit their columns: whole in the payload, NULL in raw and staging."""
+    keys = [100, 899_950]
+    frames = {
+        "lineitem": ([(k, 1, 1, 1, 10.0, 500.0, 0.0, "A", "O", T0) for k in keys],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": ([(k, k, T0) for k in keys], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "customer": ([(k, 1.0) for k in keys], "c_custkey long, c_acctbal double"),
+        "part": ([(1, "blue bolt", "SMALL")], "p_partkey long, p_name string, p_type string"),
+        "nation": ([(n, f"N{n}", 0) for n in range(25)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+    }
+    feed = feed_rows(SimpleNamespace(**{t: spark.createDataFrame(*f) for t, f in frames.items()}))
+    assert feed.schema["latitude"].dataType.simpleString() == "decimal(10,6)"
+    rows = {r.job_id: r for r in feed.collect()}
+    near, far = rows["100"], rows["899950"]
+    assert (near.latitude, near.longitude) == (Decimal("-14.049380"), Decimal("114.027156"))
+    assert '"latitude":-14.049380,"longitude":114.027156' in near.raw_data
+    assert far.latitude is None and far.longitude is None
+    assert '"latitude":-36452.395310,"longitude":36352.390422' in far.raw_data
+    staged = {r.job_id: r.latitude for r in staging.shred_payload(feed.select("job_id", "raw_data")).collect()}
+    assert staged == {"100": near.latitude, "899950": None}
