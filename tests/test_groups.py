@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobstar.functions.patterns import word_regex
-from jobstar.operators import keysets, mart, parity
+from jobstar.operators import dictionary, keysets, mart, parity
 from jobstar.operators.dictionary import match_dictionary
 from jobstar.operators.ranges import grouped_quantile, islands, running_sum
 from jobstar.operators.repostings import reposting_groups
@@ -126,6 +126,26 @@ def test_dictionary_matches_like_a_regex_per_pair(spark):
     assert match_dictionary(df, "id", "text", terms.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("heads", [0, 64])
+def test_dictionary_with_shared_terms_and_literals(spark, heads, monkeypatch):
+    """Terms of one and of several literals, literals of many terms, NULL and repeated keys; with few first words and with many."""
+    monkeypatch.setattr(dictionary, "HEADS", heads)
+    rnd = random.Random(heads)
+    texts = [(i % 40 or None, "".join(rnd.choice(BITS) + rnd.choice([" ", "-", "\n", "\r\n"]) for _ in range(rnd.randint(1, 9))))
+             for i in range(120)]
+    named = [(rnd.randrange(9) or None, rnd.choice(LITERALS)) for _ in range(60)] + [(100, "sql"), (100, "sql"), (101, "SQL"), (102, "C++")]
+    df = spark.createDataFrame(texts, "id int, text string")
+    terms = spark.createDataFrame(named, "term_id int, literal string")
+    got = [tuple(r) for r in match_dictionary(df, "id", "text", terms).collect()]
+    want = {(i, j) for i, t in texts for j, lit in named
+            if lit and re.search("[A-Za-z0-9]", lit) and re.search(word_regex([lit]), t, re.ASCII)}
+    assert len(got) == len(set(got)) and set(got) == want
+    once = spark.createDataFrame([(100, "sql"), (101, "SQL"), (102, "a.b.c")], terms.schema)
+    plan = match_dictionary(df, "id", "text", once)._jdf.queryExecution().optimizedPlan().toString()
+    # What is made distinct is texts and literals; their terms are joined in after it.
+    assert plan.lstrip().startswith("Project") and plan.index("Join") < plan.index("Aggregate")
+
+
 def test_collated_companies_are_one_and_looked_up_once(spark):
     rows = [("1", "Société", "société"), ("2", "SOCIETE", "societe"), ("3", "Other", "other"), ("4", None, None), ("5", "Sociêté", "sociêté")]
     stg = spark.createDataFrame(rows, "job_id string, company_name string, company_normalized string")
