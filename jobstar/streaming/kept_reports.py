@@ -23,7 +23,7 @@ from ..operators.joins import with_totals
 from ..operators.mart import LOCATION_LEVELS, folded_levels
 from ..operators.staging import PICK_ORDER, shred_payload
 from ..operators.upsert import RAW_KEY
-from ..session import materialize
+from ..session import materialize, scratch_path
 from . import logtable
 
 FACETS = ("posted_date", *LOCATION_LEVELS, "category_tag", "category_label")
@@ -98,13 +98,21 @@ class KeptReports:
         self._apply(rows, version, facets, counts)
 
     def _apply(self, rows: DataFrame | None, version: int, facets: logtable.State, counts: logtable.State) -> None:
+        scratch = scratch_path(self.spark, "kept")
+        try:
+            self._take_in(rows, version, facets, counts, scratch)
+        finally:
+            logtable.delete(self.spark, scratch)
+
+    def _take_in(self, rows: DataFrame | None, version: int, facets: logtable.State, counts: logtable.State, scratch: str) -> None:
         facets.version = counts.version = version - 1
+        fresh = materialize(facets_of(rows), "facets", f"{scratch}/fresh") if rows is not None else None
         if not facets.runs:
-            facets.runs = {b: [] for b in logtable.first_buckets(self.buckets, 0, SPLIT_BYTES)}
+            size = logtable.folder_bytes(self.spark, f"{scratch}/fresh") if fresh is not None else 0
+            facets.runs = {b: [] for b in logtable.first_buckets(self.buckets, size, SPLIT_BYTES)}
             counts.runs = {i: [] for i in _CUBE_NO.values()}
         name = f"data/v{version:08d}"
-        if rows is not None:
-            fresh = materialize(facets_of(rows), "fresh-facets")
+        if fresh is not None:
             placed = logtable.with_bucket(fresh, sorted(facets.runs))
             # A line per bucket, of which there are as many as the directory has.
             touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
@@ -113,7 +121,7 @@ class KeptReports:
                 jobs = fresh.select(F.col("job_id").alias("_job")).distinct()
                 old = logtable.merge_by_arrival(
                     old.select(*fresh.columns).join(jobs, F.col("job_id").eqNullSafe(F.col("_job")), "left_semi"))
-            changes = materialize(change_rows(old, fresh), "change-rows")
+            changes = materialize(change_rows(old, fresh), "changes", scratch)
             self._add(changes, counts, name)
             largest = max((sum(n for _, n in facets.runs[b]) for b in touched), default=0)
             written = logtable.write_run(placed, self._facets, name, F.lit(largest))

@@ -2,15 +2,16 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from jobstar.plans import reports as R
 from jobstar.plans.pipeline import Star
-from jobstar.session import scratch_path
+from jobstar.session import ensure_checkpoint_dir, scratch_path
 from jobstar.sources.schemas import SchemaMismatch, checked, read_merged, schema, schema_listing
-from jobstar.streaming import logtable
+from jobstar.streaming import kept_reports, logtable
 from jobstar.streaming.ingest import apply_batch
 from jobstar.streaming.kept_reports import KeptReports, change_rows
 
@@ -161,6 +162,30 @@ def test_a_drop_that_fails_before_its_version_is_published_is_followed_again(spa
         assert kept.counts(cube).agg(F.sum("n")).first()[0] == 33
 
 
+def test_a_drop_leaves_its_table_and_reports_and_no_other_folder(spark):
+    table, kept = scratch_path(spark, "raw"), KeptReports(spark, scratch_path(spark, "kept"), buckets=4)
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+
+    def fails(rows, version):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        apply_batch(spark, drops(spark)[0], table, "s", 0, buckets=4, follow=fails)
+    for no, pages in enumerate(drops(spark)):
+        apply_batch(spark, pages, table, "s", no, buckets=4, follow=kept.follow)
+    assert set(os.listdir(root)) - before == {os.path.basename(p) for p in (table, kept.root)}
+
+
+def test_the_first_facets_get_buckets_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(kept_reports, "SPLIT_BYTES", 512)
+    table, kept = scratch_path(spark, "raw"), KeptReports(spark, scratch_path(spark, "kept"), buckets=1)
+    apply_batch(spark, drops(spark)[0], table, "s", 0, buckets=4, follow=kept.follow)
+    # Written as one bucket, they would be split once.
+    assert len(logtable.State.newest(spark, f"{kept.root}/facets").runs) > 2
+    assert reports(kept) == rebuilt(spark, table)
+
+
 def test_a_drop_gives_change_rows_for_its_own_jobs_alone(spark):
     types = ("id long, job_id string, search_term string, fetched_at int, posted_date date, country string, state string, "
              "region string, city string, suburb string, category_tag string, category_label string, _arrival int")
