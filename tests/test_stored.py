@@ -3,17 +3,25 @@
 import json
 import os
 import random
+import time
+from functools import reduce
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from conftest import SF_SMALL
+from oracle_compare import compare, duck
+from jobstar import session
 from jobstar.operators import upsert
+from jobstar.operators.parity import added_fingerprints, table_fingerprint
 from jobstar.operators.staging import load_staging
 from jobstar.operators.upsert import store_raw, upsert_by_job, upsert_raw
+from jobstar.plans import pipeline
+from jobstar.plans.queries import REGISTRY
 from jobstar.session import scratch_path
 from jobstar.sources import landing
 from jobstar.sources.standin import feed_rows
-from jobstar.sources.stored import declare_bucketed, store_bucketed, stored_path
+from jobstar.sources.stored import declare_bucketed, store_bucketed, stored_path, stored_slices
 from jobstar.sources.tables import Tables
 from jobstar.streaming import logtable
 from jobstar.streaming.ingest import apply_batch, ingest_incremental
@@ -176,3 +184,46 @@ def test_ingest_with_another_number_of_buckets_through_the_stream(spark, tmp_pat
     assert landing.RAW_SCHEMA.fieldNames()[0] == "id" and "_arrival" not in raw.columns
 
 
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+
+def test_a_written_table_leaves_no_exchanged_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "RELEASE_SECONDS", 0.0)
+    session.materialize(spark.range(10), "nothing")
+    time.sleep(2)
+    before = shuffle_files(spark)
+    session.materialize(spark.range(1000).repartition(7, "id"), "dealt")
+    session.materialize(spark.range(10), "next")
+    until = time.monotonic() + 20
+    while shuffle_files(spark) > before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+
+
+def test_a_raw_table_stored_in_slices_is_the_whole_one(spark, monkeypatch):
+    rnd = random.Random(5)
+    schema = "id long, job_id string, search_term string, fetched_at int, raw_data string"
+    rows = [(i, "hot" if rnd.random() < 0.2 else rnd.choice([None, "", *map(str, range(90))]), rnd.choice(["x", "y", None]),
+             rnd.randint(0, 9), f"p{i}") for i in range(900)]
+    old, new = (spark.createDataFrame(r, schema).repartition(6) for r in (rows[:300], rows[300:]))
+    monkeypatch.setattr(session, "SLICE_ROWS", 200)
+    monkeypatch.setattr(upsert, "BUCKET_ROWS", 50)
+    raw = store_raw(old, new, 8)
+    assert 8 < len({f.rsplit("_", 1)[1][:5] for f in raw.inputFiles()}) <= 18  # buckets grow with the rows
+    assert payload_exchanges(plan(raw.groupBy("job_id").agg(F.max("raw_data")))) == 0
+    assert rows_of(raw) == rows_of(upsert_raw(old, new))
+    cut = stored_slices(raw, 4)
+    assert len(cut) == 4 and rows_of(reduce(DataFrame.unionByName, cut)) == rows_of(raw)
+    assert rows_of(added_fingerprints(cut)) == rows_of(table_fingerprint(raw))
+
+
+@pytest.mark.parametrize("name", ["upsert_raw", "upsert_two_batches", "copy_check_damaged", "parity_check"])
+def test_queries_in_slices_give_the_same_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(session, "SLICE_ROWS", 1500)
+    monkeypatch.setattr(pipeline, "_BUILT", {})
+    problems, n = compare(REGISTRY[name].build(spark, SF_SMALL), duck(SF_SMALL), REGISTRY[name].sql)
+    assert not problems and n
